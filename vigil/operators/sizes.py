@@ -1,0 +1,15 @@
+"""Size checks that decide between plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast only when a bounded look at the data shows it is small enough.
+
+    Otherwise the plan stays open: adaptive execution joins by shuffle and splits skewed keys.
+    """
+    few = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if few else df
