@@ -17,7 +17,7 @@ Two exact ways, by the number of events a device has:
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,104 +125,121 @@ class _Slice:
         return hits
 
 
-def _of_group(pdf: pd.DataFrame, limit: int, cooldown: int) -> _Slice:
-    pdf = pdf.sort_values("eventtime")
-    return _Slice(pdf["eventtime"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64), limit, cooldown)
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def _one_slice(table: pa.Table, limit: int, cooldown: int) -> _Slice:
+    times, counts = _column(table, "eventtime"), _column(table, "n")
+    order = np.argsort(times)
+    return _Slice(times[order], counts[order], limit, cooldown)
 
 
 def _slice_table(limit: int, cooldown: int, width: int):
-    def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        device, node = int(key[0]), int(key[1])
+    def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        node = key[1].as_py()
         start = node * width
-        part = _of_group(pdf, limit, cooldown)
+        part = _one_slice(rows, limit, cooldown)
         n = len(part.times)
         exit_end, exit_count = part.exits()
         # Counting on entry, with 0..limit-1 events seen.
         seen = np.arange(limit, dtype=np.int64)
         hit = part.hit(np.zeros(limit, dtype=np.int64), seen)
         fires = hit < n
-        at = np.where(fires, hit, 0)
-        pause = part.times[at] + cooldown
-        back = part.resume(pause)
+        pause = part.times[np.where(fires, hit, 0)] + cooldown
+        back = np.minimum(part.resume(pause), n)
         stays = fires & (back < n)
-        back = np.minimum(back, n)
         out_end = np.where(stays, exit_end[back], np.where(fires, pause, COUNTING))
         out_count = np.where(stays, exit_count[back], np.where(fires, 0, seen + part.total[-1]))
         # Pausing on entry: the pause ends within one cooldown of the start, so only the events
         # up to there, and the first one beyond, can be where counting resumes.
         reach = min(int(part.resume(start + cooldown)) + 1, n)
-        resume_at = np.append(part.times[:reach], BEYOND)
         resume_pos = np.append(np.arange(reach), n)
-        return pd.DataFrame({
-            "id": device,
-            "node": node,
-            "start": start,
-            "pause_end": np.concatenate([np.full(limit, COUNTING), resume_at]),
-            "count": np.concatenate([seen, np.zeros(reach + 1, dtype=np.int64)]),
-            "out_end": np.concatenate([out_end, exit_end[resume_pos]]),
-            "out_count": np.concatenate([out_count, exit_count[resume_pos]]),
-        })
+        return _state_table(
+            key[0].as_py(), node, start,
+            np.concatenate([np.full(limit, COUNTING), part.times[:reach], [BEYOND]]),
+            np.concatenate([seen, np.zeros(reach + 1, dtype=np.int64)]),
+            np.concatenate([out_end, exit_end[resume_pos]]),
+            np.concatenate([out_count, exit_count[resume_pos]]),
+        )
 
     return build
 
 
-class _Table:
-    """Entry-to-exit table of one node of the tree."""
+def _state_table(device, node, start, pause_end, count, out_end, out_count) -> pa.Table:
+    size = len(pause_end)
+    return pa.table({
+        "id": pa.array(np.full(size, device, dtype=np.int32)),
+        "node": pa.array(np.full(size, node, dtype=np.int64)),
+        "start": pa.array(np.full(size, start, dtype=np.int64)),
+        "pause_end": pa.array(pause_end), "count": pa.array(count),
+        "out_end": pa.array(out_end), "out_count": pa.array(out_count),
+    })
 
-    def __init__(self, pdf: pd.DataFrame):
-        pdf = pdf.sort_values(["pause_end", "count"])
-        self.start = int(pdf["start"].iloc[0])
-        self.rows = pdf
-        self.pause_end = pdf["pause_end"].to_numpy(np.int64)
-        self.counting = int(np.searchsorted(self.pause_end, COUNTING, side="right"))
-        self.out_end = pdf["out_end"].to_numpy(np.int64)
-        self.out_count = pdf["out_count"].to_numpy(np.int64)
+
+class _Node:
+    """Entry-to-exit table of one node of the tree, sorted by entry."""
+
+    def __init__(self, node: int, columns: dict[str, np.ndarray]):
+        self.node = node
+        self.start = int(columns["start"][0])
+        self.pause_end, self.count = columns["pause_end"], columns["count"]
+        self.out_end, self.out_count = columns["out_end"], columns["out_count"]
 
     def enter(self, end, count):
         """A pause that is over before the node starts is a count of zero."""
-        over = end <= self.start
-        counting = (end == COUNTING) | over
-        return np.where(counting, COUNTING, end), np.where((end == COUNTING), count, 0)
+        going_on = end > self.start
+        return np.where(going_on, end, COUNTING), np.where(end == COUNTING, count, 0)
 
     def leave(self, end, count):
         end, count = self.enter(end, count)
-        row = np.where(
-            end == COUNTING, count, np.searchsorted(self.pause_end, end)
-        )
+        row = np.where(end == COUNTING, count, np.searchsorted(self.pause_end, end))
         return self.out_end[row], self.out_count[row]
 
 
-def _children(pdf: pd.DataFrame):
-    return [(int(node), _Table(part)) for node, part in sorted(pdf.groupby("node"), key=lambda x: x[0])]
+def _children(tables: pa.Table) -> list[_Node]:
+    """The nodes of one group in time order."""
+    columns = {name: _column(tables, name) for name in ("node", "start", "pause_end", "count", "out_end", "out_count")}
+    order = np.lexsort((columns["count"], columns["pause_end"], columns["node"]))
+    columns = {name: values[order] for name, values in columns.items()}
+    nodes, firsts = np.unique(columns["node"], return_index=True)
+    ends = [*firsts[1:], len(order)]
+    return [
+        _Node(int(node), {name: values[a:b] for name, values in columns.items()})
+        for node, a, b in zip(nodes, firsts, ends)
+    ]
 
 
-def _merge_tables(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    (_, first), *rest = _children(pdf)
+def _merge_tables(key: tuple[pa.Scalar, ...], tables: pa.Table) -> pa.Table:
+    first, *rest = _children(tables)
     end, count = first.out_end, first.out_count
-    for _, child in rest:
+    for child in rest:
         end, count = child.leave(end, count)
-    return first.rows.assign(node=int(key[1]), out_end=end, out_count=count)
+    return _state_table(key[0].as_py(), key[1].as_py(), first.start, first.pause_end, first.count, end, count)
 
 
-def _hand_down(key, entry: pd.DataFrame, tables: pd.DataFrame) -> pd.DataFrame:
-    if not len(entry) or not len(tables):
-        return pd.DataFrame({"id": [], "node": [], "pause_end": [], "count": []}).astype("int64")
-    end, count = np.int64(entry["pause_end"].iloc[0]), np.int64(entry["count"].iloc[0])
-    rows = []
-    for node, child in _children(tables):
+def _hand_down(key: tuple[pa.Scalar, ...], entry: pa.Table, tables: pa.Table) -> pa.Table:
+    end, count = _column(entry, "pause_end")[0], _column(entry, "count")[0]
+    nodes, ends, counts = [], [], []
+    for child in _children(tables):
         end, count = child.enter(end, count)
-        rows.append((int(key[0]), node, int(end), int(count)))
+        nodes.append(child.node)
+        ends.append(int(end))
+        counts.append(int(count))
         end, count = child.leave(end, count)
-    return pd.DataFrame(rows, columns=["id", "node", "pause_end", "count"])
+    return pa.table({
+        "id": pa.array([key[0].as_py()] * len(nodes), pa.int32()), "node": pa.array(nodes, pa.int64()),
+        "pause_end": pa.array(ends, pa.int64()), "count": pa.array(counts, pa.int64()),
+    })
 
 
 def _walk_slice(limit: int, cooldown: int):
-    def walk(key, entry: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
-        hits = []
-        if len(entry) and len(pdf):
-            part = _of_group(pdf, limit, cooldown)
-            hits = part.walk(int(entry["pause_end"].iloc[0]), int(entry["count"].iloc[0]))
-        return pd.DataFrame({"id": np.full(len(hits), int(key[0])), "eventtime": np.array(hits, dtype=np.int64)})
+    def walk(key: tuple[pa.Scalar, ...], entry: pa.Table, rows: pa.Table) -> pa.Table:
+        part = _one_slice(rows, limit, cooldown)
+        hits = part.walk(_column(entry, "pause_end")[0], _column(entry, "count")[0])
+        return pa.table({
+            "id": pa.array([key[0].as_py()] * len(hits), pa.int32()), "eventtime": pa.array(hits, pa.int64())
+        })
 
     return walk
 
@@ -230,44 +247,37 @@ def _walk_slice(limit: int, cooldown: int):
 def sliced_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_ms: int) -> DataFrame:
     """`collection_triggers` for devices of any size."""
     width = max(slice_ms, cooldown_ms)
+    # The groups are few bytes and much work, so the number of tasks is fixed, not derived from size.
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def grouped(df: DataFrame, node: str):
+        return df.repartition(tasks, "id", node).groupBy("id", node)
+
     # Events of one millisecond act as one row with a count, combined before the shuffle.
     counted = events.groupBy("id", "eventtime").agg(F.count("*").alias("n"))
     counted = counted.withColumn("node", (slice_start(F.col("eventtime"), width) / width).cast("bigint"))
 
     table = cut_lineage(
-        counted.groupBy("id", "node").applyInPandas(_slice_table(limit, cooldown_ms, width), STATE_TABLE)
+        grouped(counted, "node").applyInArrow(_slice_table(limit, cooldown_ms, width), STATE_TABLE)
     )
-    levels = [table]
     low, high = table.agg(F.min("node"), F.max("node")).first()
     if low is None:
         return events.limit(0)
-    # Nodes are numbered from 0 so that a few rounds of division reach one root per device.
-    parent = F.floor((F.col("node") - F.lit(low)) / F.lit(FAN)).cast("bigint")
-    span = high - low + 1
+    # Nodes of the next round are numbered from 0; rounds go on until a device has one node.
+    levels, span, offset = [], high - low + 1, low
     while span > 1:
-        table = cut_lineage(
-            table.groupBy("id", parent.alias("parent")).applyInPandas(_merge_tables, STATE_TABLE)
-        )
-        parent = F.floor(F.col("node") / F.lit(FAN)).cast("bigint")
-        span = -(-span // FAN)
+        table = table.withColumn("parent", F.floor((F.col("node") - F.lit(offset)) / F.lit(FAN)).cast("bigint"))
         levels.append(table)
+        table = cut_lineage(grouped(table, "parent").applyInArrow(_merge_tables, STATE_TABLE))
+        span, offset = -(-span // FAN), 0
 
-    root = levels.pop()
-    entry = root.groupBy("id").agg(
-        F.min("node").alias("node"), F.lit(COUNTING).alias("pause_end"),
-        F.lit(0).cast("bigint").alias("count"),
+    entry = table.groupBy("id").agg(
+        F.min("node").alias("node"), F.lit(COUNTING).alias("pause_end"), F.lit(0).cast("bigint").alias("count")
     )
     while levels:
-        table = levels.pop()
-        offset = low if not levels else 0
-        up = F.floor((F.col("node") - F.lit(offset)) / F.lit(FAN)).cast("bigint")
-        entry = cut_lineage(
-            entry.groupBy("id", "node")
-            .cogroup(table.withColumn("parent", up).groupBy("id", "parent"))
-            .applyInPandas(_hand_down, ENTRY)
-        )
+        tables = grouped(levels.pop(), "parent")
+        entry = cut_lineage(grouped(entry, "node").cogroup(tables).applyInArrow(_hand_down, ENTRY))
     return (
-        entry.groupBy("id", "node")
-        .cogroup(counted.groupBy("id", "node"))
-        .applyInPandas(_walk_slice(limit, cooldown_ms), "id int, eventtime bigint")
+        grouped(entry, "node").cogroup(grouped(counted, "node"))
+        .applyInArrow(_walk_slice(limit, cooldown_ms), "id int, eventtime bigint")
     )

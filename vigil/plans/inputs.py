@@ -13,7 +13,8 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read_events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
+    # A stream takes a folder or a pattern; the table may be a folder or a single file.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def _time_ms() -> Column:
