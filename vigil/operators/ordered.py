@@ -38,7 +38,8 @@ def history_before(
 
     Rows and cuts are numbered together within a (key, slice), newest first; slice totals give each
     its position in the whole history. A cut at position R then wants the positions R-limit+1..R,
-    which lie in at most two blocks of `limit` positions: an equi-join on (key, block).
+    which lie in at most two blocks of `limit` positions, so rows and cuts meet per (key, block),
+    a group of at most `limit` rows.
     """
     columns = [c for c in rows.columns if c not in (key, time)]
     payload = F.struct(*columns)
@@ -66,23 +67,23 @@ def history_before(
     placed = placed.withColumn(
         "_next_cut", F.last(F.when(is_cut, F.col("_pos")), ignorenulls=True).over(running)
     )
+    reachable = (F.col("_next_cut") - F.col("_pos") < limit) | (F.col("_after") <= limit)
     block = F.ceil(F.col("_pos") / F.lit(limit))
-    wanted = (
-        placed.filter(is_cut & (F.col("_pos") > 0))
-        .select(
-            key, F.col(time).alias(cut), F.col("_pos").alias("_top"),
-            F.explode(F.array(block, block - 1)).alias("_block"),
+    met = (
+        placed.filter(F.when(is_cut, F.col("_pos") > 0).otherwise(reachable))
+        .withColumn("_block", F.explode(F.when(is_cut, F.array(block, block - 1)).otherwise(F.array(block))))
+        .withColumn(
+            "_cuts",
+            F.collect_list(F.when(is_cut, F.struct(F.col(time).alias(cut), "_pos"))).over(
+                Window.partitionBy(key, "_block")
+            ),
         )
+        .filter(~is_cut)
     )
-    reachable = placed.filter(
-        ~is_cut & ((F.col("_next_cut") - F.col("_pos") < limit) | (F.col("_after") <= limit))
-    ).withColumn("_block", block)
-    rn = F.col("_top") - F.col("_pos") + 1
-    return (
-        reachable.join(wanted, [key, "_block"])
-        .withColumn("rn", rn.cast("int"))
-        .filter(F.col("rn").between(1, limit))
-        .select(key, cut, "rn", time, *[F.col(f"_row.{c}").alias(c) for c in columns])
+    wanting = F.filter("_cuts", lambda c: (c["_pos"] - F.col("_pos")).between(0, limit - 1))
+    return met.withColumn("_c", F.explode(wanting)).select(
+        key, f"_c.{cut}", (F.col("_c._pos") - F.col("_pos") + 1).cast("int").alias("rn"), time,
+        *[F.col(f"_row.{c}").alias(c) for c in columns],
     )
 
 

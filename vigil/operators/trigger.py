@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.numeric import slice_start
-from vigil.session import cut_lineage
+from vigil.session import materialize
 
 FAN = 8
 COUNTING = np.iinfo(np.int64).min  # `pause_end` of a state that is counting, not pausing
@@ -39,9 +39,10 @@ def collection_triggers(
     if cooldown_ms <= 0 or limit <= 0:
         raise ValueError("limit and cooldown must be positive")
     events = events.select(F.col("id").cast("int").alias("id"), "eventtime")
-    hot = cut_lineage(events.groupBy("id").count().filter(F.col("count") > hot_rows).select("id"))
+    hot = events.groupBy("id").count().filter(F.col("count") > hot_rows).select("id")
     if hot.isEmpty():
         return _fold(events, limit, cooldown_ms)
+    hot = materialize(hot, "hot")
     usual = _fold(events.join(hot, "id", "left_anti"), limit, cooldown_ms)
     return usual.unionByName(
         sliced_triggers(events.join(hot, "id", "left_semi"), limit, cooldown_ms, slice_ms)
@@ -257,7 +258,7 @@ def sliced_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_ms: i
     counted = events.groupBy("id", "eventtime").agg(F.count("*").alias("n"))
     counted = counted.withColumn("node", (slice_start(F.col("eventtime"), width) / width).cast("bigint"))
 
-    table = cut_lineage(
+    table = materialize(
         grouped(counted, "node").applyInArrow(_slice_table(limit, cooldown_ms, width), STATE_TABLE)
     )
     low, high = table.agg(F.min("node"), F.max("node")).first()
@@ -268,7 +269,7 @@ def sliced_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_ms: i
     while span > 1:
         table = table.withColumn("parent", F.floor((F.col("node") - F.lit(offset)) / F.lit(FAN)).cast("bigint"))
         levels.append(table)
-        table = cut_lineage(grouped(table, "parent").applyInArrow(_merge_tables, STATE_TABLE))
+        table = materialize(grouped(table, "parent").applyInArrow(_merge_tables, STATE_TABLE))
         span, offset = -(-span // FAN), 0
 
     entry = table.groupBy("id").agg(
@@ -276,7 +277,7 @@ def sliced_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_ms: i
     )
     while levels:
         tables = grouped(levels.pop(), "parent")
-        entry = cut_lineage(grouped(entry, "node").cogroup(tables).applyInArrow(_hand_down, ENTRY))
+        entry = materialize(grouped(entry, "node").cogroup(tables).applyInArrow(_hand_down, ENTRY))
     return (
         grouped(entry, "node").cogroup(grouped(counted, "node"))
         .applyInArrow(_walk_slice(limit, cooldown_ms), "id int, eventtime bigint")

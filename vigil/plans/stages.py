@@ -16,6 +16,7 @@ from vigil.operators.scoring import anomalies, score_as_of, to_alerts
 from vigil.operators.training import fit_models, history_at_triggers
 from vigil.operators.trigger import collection_triggers
 from vigil.operators.upsert import merge_upsert
+from vigil.session import materialize
 
 
 def save_and_timestamp_events(raw: DataFrame) -> DataFrame:
@@ -35,6 +36,8 @@ def count_and_collect_events(events: DataFrame, settings: Settings) -> DataFrame
     triggers = collection_triggers(
         events, settings.trigger_limit, settings.cooldown_ms, settings.slice_ms, settings.hot_rows
     )
+    # Few rows that cost a pass over everything and are read more than once.
+    triggers = materialize(triggers, "triggers")
     return history_at_triggers(
         stored_readings(events), triggers, settings.history_limit, settings.chunk_rows, settings.slice_ms
     )
@@ -62,7 +65,8 @@ def save_distances(readings: DataFrame, scores: DataFrame) -> DataFrame:
 
 def alerts_from_messages(raw: DataFrame, settings: Settings, notified_at: Column | None = None) -> DataFrame:
     """The whole chain: decode, trigger, collect, train, refresh, score, alert."""
-    events = decode_messages(raw)
+    # Every later step reads a few columns of this; the text is parsed once.
+    events = materialize(decode_messages(raw), "events")
     versions = train_models(count_and_collect_events(events, settings))
     found = anomalies(calculate_distances(events, versions, settings), settings.threshold)
     return to_alerts(found, F.current_timestamp() if notified_at is None else notified_at)

@@ -34,8 +34,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        if current.isDefined():
+            return current.get()
+        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
@@ -44,6 +45,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """`df` as a written table in the shared folder: computed once, and safe from lost executors."""
+    spark = df.sparkSession
+    folder = new_folder(spark, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -81,8 +81,11 @@ class KeyedTable(BatchLog):
 
     def read_keys(self, spark: SparkSession, wanted: DataFrame) -> DataFrame:
         """Rows of the leading keys in `wanted`; buckets without any of them are not read."""
-        marked = wanted.select(self.keys[0]).distinct().withColumn("bucket", self._bucket())
-        return self._merged(self.read_log(spark).join(marked, ["bucket", self.keys[0]], "left_semi"))
+        marked = wanted.select(self.keys[0], self._bucket().alias("bucket"))
+        # At most `buckets` numbers come to the driver.
+        needed = [row["bucket"] for row in marked.select("bucket").distinct().collect()]
+        log = self.read_log(spark).filter(F.col("bucket").isin(needed))
+        return self._merged(log.join(marked, ["bucket", self.keys[0]], "left_semi"))
 
     def compact_into(self, spark: SparkSession, path: str) -> KeyedTable:
         """The current rows as one batch of a new table; later batches of the old one may follow it."""
