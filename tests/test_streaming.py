@@ -206,3 +206,38 @@ def test_append_and_line_sinks(spark, root, live, caplog):
     with caplog.at_level("INFO", logger="vigil"):
         line_sink()(spark.createDataFrame([("Anomaly Detected: x",)], "line string"), 0)
     assert "Anomaly Detected: x" in caplog.text
+
+
+def test_three_live_queries_meet_in_the_tables(spark, root, live):
+    from dataclasses import replace
+
+    from vigil.plans.live import start_all
+
+    quick = replace(live, refresh_ms=200, persist_trigger="200 milliseconds", training_trigger="200 milliseconds")
+    store = jobs.Store.under(f"{root}/tables", quick)
+
+    def wait_for(table, rows):
+        until = time.time() + 90
+        while time.time() < until and table.read(spark).count() < rows:
+            time.sleep(0.5)
+        return table.read(spark).collect()
+
+    queries = start_all(spark, quick, root)
+    try:
+        drop(live, "a", [line(1, T0 + i, v) for i, v in enumerate([-2, 2, -2, 2])])
+        assert len(wait_for(store.readings, 4)) == 4
+        drop(live, "b", [line(1, T0 + 10, 2)])
+        assert [m.id for m in wait_for(store.models, 1)] == [1]
+        drop(live, "c", [line(1, T0 + 20, 30)])
+        assert [(r.id, r.eventtime) for r in wait_for(store.alerts, 1)] == [(1, T0 + 20)]
+        assert all(q.isActive for q in queries)
+    finally:
+        for q in queries:
+            q.stop()
+
+
+def test_command_line():
+    from vigil.plans.live import parse
+
+    settings, root = parse(["--root", "/x", "--source_format", "kafka", "--source_option", "subscribe=a=b", "--model_load_timer", "90"])
+    assert (root, settings.refresh_ms, settings.source_options) == ("/x", 90_000, {"subscribe": "a=b"})

@@ -52,6 +52,11 @@ def to_alerts(found: DataFrame, notified_at: Column | None = None) -> DataFrame:
     )
 
 
+def collection_lines(triggers: DataFrame, length: str, now: Column | None = None) -> DataFrame:
+    element = F.format_string("(%d, %d)", F.col("id"), F.col("eventtime"))
+    return tap(triggers, "Training Events Collected For", element, length, now)
+
+
 def anomaly_lines(found: DataFrame, length: str, now: Column | None = None) -> DataFrame:
     element = F.format_string("(%d, %d, %d)", F.col("id"), F.col("eventtime"), whole(F.col("value")))
     return tap(found, "Anomaly Detected", element, length, now)

@@ -49,6 +49,12 @@ def typed_training_rows(rows: DataFrame, loaded_at: Column | None = None) -> Dat
     )
 
 
+def training_set(loaded: DataFrame, limit: int, salts: int) -> DataFrame:
+    """The newest readings of every device in the training table, each once however often it was loaded."""
+    readings = loaded.groupBy("device_id", "eventtime").agg(F.max("value").alias("value"))
+    return latest_rows(readings, "device_id", "eventtime", limit, salts)
+
+
 def load_counts(history: DataFrame, *extra: str) -> DataFrame:
     """Rows loaded per device and chunk."""
     return history.groupBy("device_id", *extra, "chunk").agg(F.count("*").alias("n")).withColumnRenamed(

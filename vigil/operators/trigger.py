@@ -248,18 +248,12 @@ def _walk_slice(limit: int, cooldown: int):
 def sliced_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_ms: int) -> DataFrame:
     """`collection_triggers` for devices of any size."""
     width = max(slice_ms, cooldown_ms)
-    # The groups are few bytes and much work, so the number of tasks is fixed, not derived from size.
-    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def grouped(df: DataFrame, node: str):
-        return df.repartition(tasks, "id", node).groupBy("id", node)
-
     # Events of one millisecond act as one row with a count, combined before the shuffle.
     counted = events.groupBy("id", "eventtime").agg(F.count("*").alias("n"))
     counted = counted.withColumn("node", (slice_start(F.col("eventtime"), width) / width).cast("bigint"))
 
     table = materialize(
-        grouped(counted, "node").applyInArrow(_slice_table(limit, cooldown_ms, width), STATE_TABLE)
+        counted.groupBy("id", "node").applyInArrow(_slice_table(limit, cooldown_ms, width), STATE_TABLE)
     )
     low, high = table.agg(F.min("node"), F.max("node")).first()
     if low is None:
@@ -269,16 +263,16 @@ def sliced_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_ms: i
     while span > 1:
         table = table.withColumn("parent", F.floor((F.col("node") - F.lit(offset)) / F.lit(FAN)).cast("bigint"))
         levels.append(table)
-        table = materialize(grouped(table, "parent").applyInArrow(_merge_tables, STATE_TABLE))
+        table = materialize(table.groupBy("id", "parent").applyInArrow(_merge_tables, STATE_TABLE))
         span, offset = -(-span // FAN), 0
 
     entry = table.groupBy("id").agg(
         F.min("node").alias("node"), F.lit(COUNTING).alias("pause_end"), F.lit(0).cast("bigint").alias("count")
     )
     while levels:
-        tables = grouped(levels.pop(), "parent")
-        entry = materialize(grouped(entry, "node").cogroup(tables).applyInArrow(_hand_down, ENTRY))
+        tables = levels.pop().groupBy("id", "parent")
+        entry = materialize(entry.groupBy("id", "node").cogroup(tables).applyInArrow(_hand_down, ENTRY))
     return (
-        grouped(entry, "node").cogroup(grouped(counted, "node"))
+        entry.groupBy("id", "node").cogroup(counted.groupBy("id", "node"))
         .applyInArrow(_walk_slice(limit, cooldown_ms), "id int, eventtime bigint")
     )

@@ -28,9 +28,10 @@ def as_device_events(events: DataFrame) -> DataFrame:
 def _message_text() -> Column:
     k = F.get_json_object("props", "$.k").cast("int")
     normal = F.when((F.col("event_type") == "error") & (k % 10 == 0), 5).otherwise(1)
-    return F.format_string(
-        '{"source":{"id":%d,"base":%d},"eventtime":%d,"variation":%d,"isanomaly":%d}',
-        F.col("user_id") + 1000, 110 + F.col("user_id") % 26, _time_ms(), k % 15 - 7, normal,
+    return F.concat(
+        F.lit('{"source":{"id":'), F.col("user_id") + 1000, F.lit(',"base":'), 110 + F.col("user_id") % 26,
+        F.lit('},"eventtime":'), _time_ms(), F.lit(',"variation":'), k % 15 - 7,
+        F.lit(',"isanomaly":'), normal, F.lit("}"),
     )
 
 

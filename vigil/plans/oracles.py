@@ -88,11 +88,11 @@ scored AS (SELECT e.id, e.eventtime, e.value, e.base, {_distance('trunc(e.value)
     return MSG, _fit("models", whole, "max(eventtime)"), scored
 
 
-def _windows(length, extra=""):
-    return _sql(DEV, select=f"""
+def _windows(length, extra="", source=DEV, rows="dev"):
+    return _sql(source, select=f"""
 SELECT make_timestamp(w * {length} * 1000) AS window_start, make_timestamp((w + 1) * {length} * 1000) AS window_end,
        count(*) AS batch_rows, min(eventtime) AS first_eventtime, max(eventtime) AS last_eventtime
-FROM (SELECT eventtime, eventtime // {length} AS w FROM dev) {extra} GROUP BY w""")
+FROM (SELECT eventtime, eventtime // {length} AS w FROM {rows}) {extra} GROUP BY w""")
 
 
 LATEST_CHUNKS = f"(SELECT id, rn // {CHUNK} AS chunk, count(*) AS n FROM latest GROUP BY ALL)"
@@ -145,6 +145,14 @@ SELECT id, string_agg(n::VARCHAR, ',' ORDER BY n) AS chunk_sizes, sum(n)::BIGINT
 FROM {LATEST_CHUNKS} GROUP BY id"""),
         "typed_training_rows": _sql(DEV, LATEST, select=f"""
 SELECT id AS device_id, value, eventtime, {_stamp('eventtime')} AS collected_at, {LOADED} AS loaded_at FROM latest"""),
+        "training_set": _sql(DEV, *replay, select=f"""
+SELECT * FROM (SELECT id AS device_id, row_number() OVER (PARTITION BY id ORDER BY eventtime DESC) AS rn, eventtime, value
+               FROM (SELECT DISTINCT id, eventtime, value FROM collected)) WHERE rn <= {HISTORY}"""),
+        "collection_log": _sql(DEV, WALK.format(src="dev"), select=f"""
+SELECT id, eventtime, 'Training Events Collected For: Event: (' || id || ', ' || eventtime || '), Timestamp: ' ||
+       {text.format(_stamp('eventtime'))} || ', Window: [' || {text.format(_stamp('(eventtime // 15000 * 15000)'))} || ', ' ||
+       {text.format(_stamp('(eventtime // 15000 * 15000 + 15000)'))} || '), Current Time ' || {text.format(LOADED)} AS line
+FROM trig"""),
         "train_models": _sql(DEV, LATEST, latest_models, select="SELECT * FROM models"),
         "trained_lines": _sql(DEV, LATEST, latest_models, select="""
 SELECT id, 'MODEL TRAINED: (' || id || ', ' || model || ')' AS line FROM models"""),
@@ -163,6 +171,7 @@ SELECT e.id, e.eventtime, e.value, m.model, {_distance('e.bp')} AS distance FROM
         "score_events_asof": _sql(DEV, *replay, select=f"""
 SELECT e.id, e.eventtime, e.value, m.model, {_distance('e.bp')} AS distance
 FROM dev e ASOF LEFT JOIN visible m ON e.id = m.id AND e.eventtime >= m.effective_from"""),
+        "score_batches_2s": _windows(2_000, source=MSG, rows="msg"),
         "anomalies": _sql(*_msg_scores(), select="SELECT * FROM scored WHERE distance > 3.0::DOUBLE"),
         "anomaly_log": _sql(*_msg_scores(), select=f"""
 SELECT id, eventtime, 'Anomaly Detected: Event: (' || id || ', ' || eventtime || ', ' || trunc(value)::BIGINT ||

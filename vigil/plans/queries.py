@@ -195,6 +195,21 @@ def typed_training_rows(spark, sf_dir):
     return _plain_times(training.typed_training_rows(rows, _loaded_at()))
 
 
+@query
+def training_set(spark, sf_dir):
+    """Loads of successive triggers overlap; the set to train from does not."""
+    loaded = stages.count_and_collect_events(_events(spark, sf_dir), REPLAY)
+    return training.training_set(loaded, REPLAY.history_limit, REPLAY.salts).select(
+        "device_id", "rn", "eventtime", "value"
+    )
+
+
+@query
+def collection_log(spark, sf_dir):
+    triggers = with_event_time(_triggers(spark, sf_dir))
+    return scoring.collection_lines(triggers, REPLAY.training_window, _loaded_at())
+
+
 @query
 def train_models(spark, sf_dir):
     return training.fit_models(_history(spark, sf_dir))
@@ -258,6 +273,12 @@ def score_events_asof(spark, sf_dir):
     return stages.calculate_distances(_events(spark, sf_dir), _versions(spark, sf_dir), REPLAY)
 
 
+@query
+def score_batches_2s(spark, sf_dir):
+    scores = with_event_time(_scores(spark, sf_dir))
+    return _plain_times(windows.window_batches(scores, REPLAY.score_window))
+
+
 @query
 def anomalies(spark, sf_dir):
     return scoring.anomalies(_scores(spark, sf_dir), REPLAY.threshold).drop("model")

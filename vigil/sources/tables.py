@@ -69,7 +69,10 @@ class KeyedTable(BatchLog):
         columns = [c for c in self.schema.names if c in rows.columns]
         values = [c for c in columns if c not in self.keys]
         # One row per key and batch, so that the batch number settles every later comparison.
-        single = rows.groupBy(*self.keys).agg(*[F.max(c).alias(c) for c in values]) if values else rows
+        if len(values) == 1:
+            single = rows.groupBy(*self.keys).agg(F.max(values[0]).alias(values[0]))
+        else:
+            single = rows.groupBy(*self.keys).agg(F.max(F.struct(*values)).alias("_v")).select(*self.keys, "_v.*")
         typed = single.select(*[F.col(f.name).cast(f.dataType) for f in self.schema if f.name in columns])
         # Rebalancing lets adaptive execution split a hot bucket and join small ones.
         placed = typed.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
