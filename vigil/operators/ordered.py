@@ -7,12 +7,18 @@ only per-slice summaries are ordered across a device.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.numeric import slice_start
 
 
+def _slice(time: str, slice_ms: int) -> Column:
+    # Never null, so that joins add no null test of their own to one of two equal scans; the shuffle
+    # below can then serve both.
+    return F.coalesce(slice_start(F.col(time), slice_ms), F.lit(0).cast("bigint"))
+
+
 def latest_rows(rows: DataFrame, key: str, time: str, limit: int, salts: int) -> DataFrame:
     """The newest `limit` rows per key with their 1-based rank `rn`.
 
@@ -42,35 +48,36 @@ def history_before(
     a group of at most `limit` rows.
     """
     columns = [c for c in rows.columns if c not in (key, time)]
-    payload = F.struct(*columns)
-    marked = rows.select(key, time, payload.alias("_row"), F.lit(1).alias("_w")).unionByName(
+    marked = rows.select(key, time, *columns, F.lit(1).alias("_w")).unionByName(
         cuts.select(key, F.col(cut).alias(time)).distinct().withColumn("_w", F.lit(0)),
         allowMissingColumns=True,
-    ).withColumn("_slice", slice_start(F.col(time), slice_ms))
-
-    totals = marked.groupBy(key, "_slice").agg(F.sum("_w").alias("_size"))
-    upto = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-    totals = totals.select(key, "_slice", F.sum("_size").over(upto).alias("_upto"))
+    ).withColumn("_slice", _slice(time, slice_ms))
 
     # Newest first, a cut before the row of its own millisecond: the running weight is then the
-    # number of rows after the cut, or the row's own place counted from the end.
+    # number of rows after the cut, or the row's own place counted from the end of the slice.
     newest_first = Window.partitionBy(key, "_slice").orderBy(F.col(time).desc(), "_w")
     running = newest_first.rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        marked.withColumn("_after", F.sum("_w").over(running))
-        .join(totals, [key, "_slice"])
-        .withColumn("_pos", F.col("_upto") - F.col("_after") + F.col("_w"))
-    )
     is_cut = F.col("_w") == 0
-    # Local pre-filter: a row is out of reach if the next cut of its slice is too far and enough
-    # rows follow it in the slice to hide it from cuts of later slices.
-    placed = placed.withColumn(
-        "_next_cut", F.last(F.when(is_cut, F.col("_pos")), ignorenulls=True).over(running)
+    after = F.col("_after")
+    # A row is out of reach if the next cut of its slice is too far and enough rows follow it in
+    # the slice to hide it from cuts of later slices.
+    reachable = (after - F.col("_cut_after") <= limit) | (after <= limit)
+    near = (
+        marked.withColumn("_after", F.sum("_w").over(running))
+        .withColumn("_cut_after", F.last(F.when(is_cut, after), ignorenulls=True).over(running))
+        .filter(is_cut | reachable)
     )
-    reachable = (F.col("_next_cut") - F.col("_pos") < limit) | (F.col("_after") <= limit)
+
+    totals = marked.groupBy(key, "_slice").agg(F.sum("_w").alias("_size"))
+    upto = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
+    totals = totals.select(key, "_slice", F.sum("_size").over(upto).alias("_upto"))
+
+    position = F.col("_upto") - after + F.col("_w")
     block = F.ceil(F.col("_pos") / F.lit(limit))
     met = (
-        placed.filter(F.when(is_cut, F.col("_pos") > 0).otherwise(reachable))
+        near.join(totals, [key, "_slice"])
+        .withColumn("_pos", position)
+        .filter(F.col("_pos") > 0)
         .withColumn("_block", F.explode(F.when(is_cut, F.array(block, block - 1)).otherwise(F.array(block))))
         .withColumn(
             "_cuts",
@@ -82,8 +89,7 @@ def history_before(
     )
     wanting = F.filter("_cuts", lambda c: (c["_pos"] - F.col("_pos")).between(0, limit - 1))
     return met.withColumn("_c", F.explode(wanting)).select(
-        key, f"_c.{cut}", (F.col("_c._pos") - F.col("_pos") + 1).cast("int").alias("rn"), time,
-        *[F.col(f"_row.{c}").alias(c) for c in columns],
+        key, f"_c.{cut}", (F.col("_c._pos") - F.col("_pos") + 1).cast("int").alias("rn"), time, *columns
     )
 
 
@@ -97,10 +103,10 @@ def as_of(
     """
     columns = [c for c in right.columns if c not in (key, since)]
     versions = right.select(
-        key, slice_start(F.col(since), slice_ms).alias("_slice"),
+        key, _slice(since, slice_ms).alias("_slice"),
         F.struct(since, *columns).alias("_v"),
     ).groupBy(key, "_slice").agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
-    rows = left.withColumn("_slice", slice_start(F.col(time), slice_ms))
+    rows = left.withColumn("_slice", _slice(time, slice_ms))
     grid = (
         rows.select(key, "_slice").distinct()
         .join(versions, [key, "_slice"], "full_outer")
