@@ -46,7 +46,7 @@ class Settings:
     slice_ms: int = HOUR_MS
     hot_rows: int = 1_000_000
     salts: int = 32
-    table_buckets: int = 64
+    table_buckets: int = 16
 
     def __post_init__(self):
         for f in fields(self):

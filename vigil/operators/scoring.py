@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigil.functions.numeric import event_timestamp, normalized_distance, spread, whole
 from vigil.operators.catalog import with_model_as_of
 from vigil.operators.windows import tap
+from vigil.session import materialize
 
 
 def _score_columns(models: DataFrame) -> DataFrame:
@@ -22,14 +23,23 @@ def _with_distance(joined: DataFrame, columns: list[str]) -> DataFrame:
     return joined.select(*columns, "model", distance.alias("distance"))
 
 
-def score(events: DataFrame, models: DataFrame) -> DataFrame:
-    """Each event with its distance from the model of its device, 0 where there is none.
+def scoring_table(models: DataFrame, folder: str | None = None) -> DataFrame:
+    """What a scorer needs of the models, as a written table.
 
-    No broadcast hint: the catalog grows with the devices, so the size seen at run time decides,
-    and a skewed device is split by the adaptive join.
+    The join then knows the table's true size and broadcasts it only if it is small. Otherwise both
+    sides are plain shuffles, and only then does adaptive execution split a device that holds a large
+    part of the events: it does not where one side comes straight from an aggregate by the join key.
     """
-    joined = events.join(_score_columns(models), "id", "left")
-    return _with_distance(joined, events.columns)
+    return materialize(_score_columns(models), "models", folder)
+
+
+def score_with(events: DataFrame, table: DataFrame) -> DataFrame:
+    """Each event with its distance from the model of its device in a `scoring_table`, 0 if it has none."""
+    return _with_distance(events.join(table, "id", "left"), events.columns)
+
+
+def score(events: DataFrame, models: DataFrame) -> DataFrame:
+    return score_with(events, scoring_table(models))
 
 
 def score_as_of(events: DataFrame, versions: DataFrame, refresh_ms: int, slice_ms: int) -> DataFrame:

@@ -45,9 +45,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+def materialize(df: DataFrame, name: str = "step", folder: str | None = None) -> DataFrame:
     """`df` as a written table in the shared folder: computed once, and safe from lost executors."""
     spark = df.sparkSession
-    folder = new_folder(spark, name)
-    df.write.parquet(folder)
+    folder = folder or new_folder(spark, name)
+    df.write.mode("overwrite").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -62,7 +62,7 @@ class KeyedTable(BatchLog):
     """
 
     keys: tuple[str, ...]
-    buckets: int = 64
+    buckets: int = 16
     first_wins: bool = False
 
     def append(self, rows: DataFrame, writer: str, batch_id: int) -> None:

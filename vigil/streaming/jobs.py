@@ -16,10 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigil.config import Settings
 from vigil.functions.codec import decode_messages, to_distances, to_readings, with_event_time
-from vigil.operators.scoring import anomalies, score
+from vigil.operators.scoring import anomalies, score_with, scoring_table
 from vigil.operators.training import fit_models, latest_history
 from vigil.operators.windows import window_batches
 from vigil.schemas import ALERT_RECORD, LOADED_ROW, MODEL, READING
+from vigil.session import new_folder
 from vigil.sources.sinks import keyed_sink
 from vigil.sources.tables import BatchLog, KeyedTable
 from vigil.streaming.counter import count_triggers
@@ -50,18 +51,25 @@ class Store:
 
 
 class CatalogSnapshot:
-    """The catalog as of the last refresh tick; read again only when the tick has moved."""
+    """The catalog as of the last refresh tick, merged once per tick and not once per batch.
+
+    Snapshots alternate between two folders, so the one in use is never overwritten and old ones
+    do not pile up.
+    """
 
     def __init__(self, models: KeyedTable, refresh_ms: int, clock: Callable[[], int] = now_ms):
         self.models, self.refresh_ms, self.clock = models, refresh_ms, clock
         self.tick: int | None = None
         self.rows: DataFrame | None = None
+        self.folder: str | None = None
+        self.taken = 0
 
     def current(self, spark: SparkSession) -> DataFrame:
         tick = self.clock() // self.refresh_ms
         if tick != self.tick:
-            # The file listing is fixed here, so later versions stay unseen until the next tick.
-            self.rows, self.tick = self.models.read(spark), tick
+            self.folder = self.folder or new_folder(spark, "snapshot")
+            self.rows = scoring_table(self.models.read(spark), f"{self.folder}/{self.taken % 2}")
+            self.tick, self.taken = tick, self.taken + 1
         return self.rows
 
 
@@ -113,10 +121,10 @@ def start_training(
 
 
 def score_batch(
-    events: DataFrame, batch_id: int, store: Store, settings: Settings, models: DataFrame
+    events: DataFrame, batch_id: int, store: Store, settings: Settings, snapshot: DataFrame
 ) -> None:
     """Score one batch, store the distances, and record what is beyond the threshold."""
-    scores = score(events, models).persist()
+    scores = score_with(events, snapshot).persist()
     try:
         store.readings.append(to_distances(scores), "distances", batch_id)
         found = anomalies(scores, settings.threshold).select(
