@@ -208,7 +208,8 @@ def test_append_and_line_sinks(spark, root, live, caplog):
     assert "Anomaly Detected: x" in caplog.text
 
 
-def test_three_live_queries_meet_in_the_tables(spark, root, live):
+def test_three_live_queries_meet_in_the_tables(spark, root, live, caplog):
+    caplog.set_level("INFO", logger="vigil")
     from dataclasses import replace
 
     from vigil.plans.live import start_all
@@ -230,6 +231,11 @@ def test_three_live_queries_meet_in_the_tables(spark, root, live):
         assert [m.id for m in wait_for(store.models, 1)] == [1]
         drop(live, "c", [line(1, T0 + 20, 30)])
         assert [(r.id, r.eventtime) for r in wait_for(store.alerts, 1)] == [(1, T0 + 20)]
+        until = time.time() + 30
+        while time.time() < until and "Anomaly Detected" not in caplog.text:
+            time.sleep(0.5)
+        assert "MODEL SAVED: (1, model_1_" in caplog.text
+        assert f"Anomaly Detected: Event: (1, {T0 + 20}, 150)" in caplog.text
         assert all(q.isActive for q in queries)
     finally:
         for q in queries:

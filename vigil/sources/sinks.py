@@ -32,23 +32,24 @@ def append_sink(table: BatchLog, writer: str, projection: Projection | None = No
 
 
 def jdbc_alert_sink(url: str, table: str, known: Callable[[], DataFrame], **options: str) -> BatchSink:
-    """Insert alerts that the target does not hold yet; `known` gives its present (id, eventtime) keys.
+    """Insert the rows of `to_alerts` that the target does not hold yet, so that a replay repeats none.
 
-    `notified_at` is left to the column default of the target.
+    `known` gives the target's present (id, eventtime) keys; `notified_at` is left to its default.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.select("id", "eventtime", "value", "base").join(known(), ["id", "eventtime"], "left_anti")
+    def write(alerts: DataFrame, batch_id: int) -> None:
+        fresh = alerts.select("id", "eventtime", "value", "base").join(known(), ["id", "eventtime"], "left_anti")
         fresh.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
     return write
 
 
-def line_sink(shown: int = 20) -> BatchSink:
-    """Show the first lines of a batch in the driver's log; the whole text belongs in a table."""
+def line_sink(projection: Projection | None = None, shown: int = 20) -> BatchSink:
+    """Show the first lines of a batch in the driver's log; the tables hold all of them."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for row in batch.select("line").limit(shown).collect():
+        lines = projection(batch) if projection else batch
+        for row in lines.select("line").limit(shown).collect():
             log.info("%s", row["line"])
 
     return write

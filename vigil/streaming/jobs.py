@@ -7,7 +7,7 @@ checkpoint.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,7 @@ from vigil.operators.training import fit_models, latest_history
 from vigil.operators.windows import window_batches
 from vigil.schemas import ALERT_RECORD, LOADED_ROW, MODEL, READING
 from vigil.session import new_folder
-from vigil.sources.sinks import keyed_sink
+from vigil.sources.sinks import BatchSink, keyed_sink
 from vigil.sources.tables import BatchLog, KeyedTable
 from vigil.streaming.counter import count_triggers
 
@@ -86,9 +86,10 @@ def start_persisting(
 
 
 def train_batch(
-    triggers: DataFrame, batch_id: int, store: Store, settings: Settings, clock: Callable[[], int] = now_ms
+    triggers: DataFrame, batch_id: int, store: Store, settings: Settings, clock: Callable[[], int] = now_ms,
+    sinks: Sequence[BatchSink] = (),
 ) -> None:
-    """Collect, load, wait and train for the devices of one batch of triggers."""
+    """Collect, load, wait and train for the devices of one batch of triggers; `sinks` get the new models."""
     spark = triggers.sparkSession
     collected = triggers.groupBy(F.col("id").alias("device_id")).agg(F.max("eventtime").alias("_at")).persist()
     try:
@@ -105,44 +106,51 @@ def train_batch(
         loaded = store.training.read_batch(spark, "loads", batch_id)
         dated = loaded.withColumn("trained_at", F.lit(clock()).cast("bigint"))
         store.models.append(fit_models(dated, "trained_at"), "trainer", batch_id)
+        for sink in sinks:
+            sink(store.models.read_batch(spark, "trainer", batch_id), batch_id)
     finally:
         collected.unpersist()
 
 
 def start_training(
-    messages: DataFrame, store: Store, checkpoint: str, settings: Settings, once: bool = False
+    messages: DataFrame, store: Store, checkpoint: str, settings: Settings, once: bool = False,
+    sinks: Sequence[BatchSink] = (),
 ) -> StreamingQuery:
     triggers = count_triggers(decode_messages(messages), settings.trigger_limit, settings.cooldown_ms)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        train_batch(batch, batch_id, store, settings)
+        train_batch(batch, batch_id, store, settings, sinks=sinks)
 
     return _start(triggers, handle, checkpoint, None if once else settings.training_trigger)
 
 
 def score_batch(
-    events: DataFrame, batch_id: int, store: Store, settings: Settings, snapshot: DataFrame
+    events: DataFrame, batch_id: int, store: Store, settings: Settings, snapshot: DataFrame,
+    sinks: Sequence[BatchSink] = (),
 ) -> None:
-    """Score one batch, store the distances, and record what is beyond the threshold."""
+    """Score one batch, store the distances, and record what is beyond the threshold; `sinks` get that too."""
     scores = score_with(events, snapshot).persist()
     try:
         store.readings.append(to_distances(scores), "distances", batch_id)
-        found = anomalies(scores, settings.threshold).select(
+        found = anomalies(scores, settings.threshold)
+        records = found.select(
             "id", "eventtime", F.current_timestamp().alias("notified_at"), "value", "base", "distance"
         )
-        store.alerts.append(found, "scorer", batch_id)
+        store.alerts.append(records, "scorer", batch_id)
+        for sink in sinks:
+            sink(found, batch_id)
     finally:
         scores.unpersist()
 
 
 def start_scoring(
     messages: DataFrame, store: Store, checkpoint: str, settings: Settings, once: bool = False,
-    clock: Callable[[], int] = now_ms,
+    clock: Callable[[], int] = now_ms, sinks: Sequence[BatchSink] = (),
 ) -> StreamingQuery:
     catalog = CatalogSnapshot(store.models, settings.refresh_ms, clock)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch, batch_id, store, settings, catalog.current(batch.sparkSession))
+        score_batch(batch, batch_id, store, settings, catalog.current(batch.sparkSession), sinks)
 
     return _start(decode_messages(messages), handle, checkpoint, None if once else settings.persist_trigger)
 
