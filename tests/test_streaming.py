@@ -107,6 +107,32 @@ def test_counter_fires_once_per_pause(spark, root, live, no_idle_batches):
     assert run() == [(1, T0 + 4), (2, T0 + 4)]
 
 
+def test_first_events_never_change_a_firing():
+    import random
+
+    import pandas as pd
+
+    from vigil.streaming.counter import _first_events
+
+    rng = random.Random(2)
+    for _ in range(200):
+        limit, seen = rng.randrange(1, 8), 0
+        batches = [
+            pd.DataFrame({"id": [rng.randrange(3) for _ in range(rng.randrange(0, 30))]}) for _ in range(4)
+        ]
+        for b, batch in enumerate(batches):
+            batch["eventtime"] = range(b * 100, b * 100 + len(batch))
+        kept = pd.concat(list(_first_events(limit)(iter(batches))))
+        whole = pd.concat(batches)
+        for device in range(3):
+            seen = rng.randrange(limit)
+            all_times = whole[whole.id == device].eventtime.tolist()
+            kept_times = kept[kept.id == device].eventtime.tolist()
+            assert all_times[limit - seen - 1 : limit - seen] == kept_times[limit - seen - 1 : limit - seen]
+            if len(all_times) < limit:
+                assert kept_times == all_times
+
+
 def test_counter_restarts_after_the_pause(spark, root, live, no_idle_batches):
     def run():
         triggers = count_triggers(decode_messages(read_messages(spark, live)), 5, 500)

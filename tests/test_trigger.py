@@ -63,7 +63,7 @@ def test_only_large_devices_are_sliced(spark):
     assert sorted((r.id, r.eventtime) for r in mixed.collect()) == expected
 
 
-def test_reference_settings(spark):
+def test_live_settings(spark):
     """100 events at two per second: first trigger at the 100th, the next one a pause later."""
     times = [1_700_000_000_000 + 500 * i for i in range(2_700)]
     hits = [r.eventtime for r in collection_triggers(frame(spark, {9: times}), 100, 600_000, 3_600_000, 10**6).collect()]

@@ -11,7 +11,7 @@ DAY_MS = 24 * HOUR_MS
 
 @dataclass(frozen=True)
 class Settings:
-    """Everything a user can tune. The defaults are those of the live workload."""
+    """Everything a user can tune. Limits, times and windows default to the fixed values of the live workload."""
 
     # Message source: any streaming format that yields one text or binary column.
     source_format: str = "text"

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the shape of a diagnostic line.
+LINE_FORMAT = "%s: Event: %s, Timestamp: %s, Window: [%s, %s), Current Time %s"
+
 
 def assign_window(events: DataFrame, length: str) -> DataFrame:
     """Each event with the start and end of its fixed window."""
@@ -45,7 +48,7 @@ def tap(rows: DataFrame, prefix: str, element: Column, length: str, now: Column
         return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS")
 
     line = F.format_string(
-        "%s: Event: %s, Timestamp: %s, Window: [%s, %s), Current Time %s",
+        LINE_FORMAT,
         F.lit(prefix), F.col("_element"), text(F.col("event_ts")),
         text(F.col("window_start")), text(F.col("window_end")), text(F.col("_now")),
     )
