@@ -273,3 +273,22 @@ def test_command_line():
 
     settings, root = parse(["--root", "/x", "--source_format", "kafka", "--source_option", "subscribe=a=b", "--model_load_timer", "90"])
     assert (root, settings.refresh_ms, settings.source_options) == ("/x", 90_000, {"subscribe": "a=b"})
+
+
+def test_jdbc_sink_sends_only_unknown_alerts(spark, monkeypatch):
+    """The hand-over to the JDBC writer; no database is started."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from vigil.operators.scoring import to_alerts
+    from vigil.sources.sinks import jdbc_alert_sink
+
+    sent = []
+    monkeypatch.setattr(DataFrameWriter, "save", lambda writer: sent.append(writer._df))
+    found = spark.createDataFrame(
+        [(1, T0, 130.5, 120.0), (1, T0, 130.5, 120.0), (2, T0, 99.5, 120.0)], "id int, eventtime long, value double, base double"
+    )
+    alerts = to_alerts(found)
+    known = alerts.filter("id = 2").select("id", "eventtime")
+    jdbc_alert_sink("jdbc:none", "alerts", lambda: known)(alerts, 0)
+    assert sent[0].columns == ["id", "eventtime", "value", "base"]
+    assert [(r.id, r.value) for r in sent[0].collect()] == [(1, 130.5)]
