@@ -1,6 +1,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from vigil.plans.queries import QUERIES
 from compare import connect, oracle_rows, rows_of
 
 SF = "/root/testdata/sf0.01"
@@ -11,7 +12,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     columns, rows = rows_of(queries()[name](spark, SF))
     expected_columns, expected = oracle_rows(con, oracle_sql()[name])
