@@ -6,31 +6,76 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.llm.byte_bpe import encode_documents
+from vigil.llm.exact_dedup import exact_duplicates
+from vigil.llm.language import predict_documents
+from vigil.llm.near_dedup import near_duplicates
 from vigil.llm.packing import pack_documents
+from vigil.llm.simhash import document_fingerprints, with_near_counts
 from vigil.llm.token_blocks import token_file_digests
+from vigil.llm.warc import page_archive_digests
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encode_documents(_table(spark, sf_dir, "documents"), path, keep_ids=False)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_documents(_table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_archive_digests(_table(spark, sf_dir, "pages"))
+
+
 def op6_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_near_counts(document_fingerprints(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_language": op4_language,
+    "op5_warc": op5_warc,
     "op6_token_blocks": op6_token_blocks,
+    "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
+    "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+#: op2, op4, op5, op6, op8 and op10 are beyond SQL: tests hold them against the libraries, exact round trips,
+#: held-out accuracy and brute force.
+ORACLES = {
+    "op7_exact_dedup": r"""
+WITH bare AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents),
+ranked AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM bare)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked""",
+}
