@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.llm.byte_bpe import encode_documents
 from vigil.llm.exact_dedup import exact_duplicates
 from vigil.llm.language import predict_documents
+from vigil.llm.license_scan import scan, scan_sql
+from vigil.llm.line_dedup import fuzzy_lines
 from vigil.llm.near_dedup import near_duplicates
 from vigil.llm.packing import pack_documents
 from vigil.llm.simhash import document_fingerprints, with_near_counts
@@ -29,6 +31,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents"), path, keep_ids=False)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_documents(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +56,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_near_counts(document_fingerprints(_table(spark, sf_dir, "documents")))
 
@@ -57,17 +67,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_license_scan": op3_license_scan,
     "op4_language": op4_language,
     "op5_warc": op5_warc,
     "op6_token_blocks": op6_token_blocks,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
 }
 
-#: op2, op4, op5, op6, op8 and op10 are beyond SQL: tests hold them against the libraries, exact round trips,
+#: The others are beyond SQL: tests hold them against the libraries, exact round trips,
 #: held-out accuracy and brute force.
 ORACLES = {
+    "op3_license_scan": scan_sql(),
     "op7_exact_dedup": r"""
 WITH bare AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_chars,

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from vigil.llm.pieces import in_groups
 from vigil.llm.vocabularies import library_encoder
-from vigil.session import new_folder
+from vigil.session import materialize, new_folder
 
 MAGIC = b"PFR1"
 BLOCK = 256
@@ -187,11 +187,13 @@ def read_token_frames(spark, folder: str) -> DataFrame:
     """The documents of a folder of frames: doc_id, start (ids of all documents before it), n_tokens,
     ids_crc32 over its ids as little-endian unsigned 32-bit integers.
 
-    The starts of the partitions are running sums over one number per partition, not over frames."""
+    The starts of the partitions are running sums over one number per partition, not over frames. They are
+    written first, so that Spark knows how few they are and moves no frame to meet them."""
     frames = spark.read.schema(FRAMES).parquet(folder)
     parts = frames.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
+    starts = materialize(
+        parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start")), "part-starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
