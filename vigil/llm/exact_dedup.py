@@ -31,6 +31,10 @@ def chunks(text: Column, least: int, most: int) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def chunk_hash(chunk: Column) -> Column:
+    return F.xxhash64(chunk)
+
+
 def _numbered_chunks(docs: DataFrame, least: int, most: int) -> DataFrame:
     """A row for each chunk, and one with a null chunk for an empty text."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -41,7 +45,7 @@ def _numbered_chunks(docs: DataFrame, least: int, most: int) -> DataFrame:
     ).select(
         "doc_id", "n_chars", F.sha2("bare", 256).alias("text_sha256"),
         F.posexplode_outer(chunks(F.col("bare"), least, most)).alias("position", "chunk"),
-    ).withColumn("hash", F.xxhash64("chunk"))
+    ).withColumn("hash", chunk_hash(F.col("chunk")))
 
 
 def recipes(docs: DataFrame, least: int = 1024, most: int = 8192) -> DataFrame:
