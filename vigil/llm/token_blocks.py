@@ -105,7 +105,7 @@ class Frame:
 
     def ids(self, start: int = 0, stop: int | None = None) -> np.ndarray:
         """The ids at positions start to stop; only the blocks that hold them are unpacked."""
-        stop = self.size if stop is None else stop
+        stop = self.size if stop is None else min(stop, self.size)
         if start >= stop:
             return np.empty(0, np.uint32)
         first, last = start // self.block, -(-stop // self.block)
