@@ -155,8 +155,9 @@ def linked_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
     owners, column = owners[held], number[column[held]]
     order = np.argsort(column, kind="stable")
     owners, column = owners[order], column[order]
-    width = max(1, (1 << 22) // len(sets))
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+    columns = int(column[-1]) + 1 if len(column) else 0
+    width = max(1, min(columns, (1 << 22) // len(sets)))
+    for start in range(0, columns, width):
         a, b = np.searchsorted(column, [start, start + width])
         has = np.zeros((len(sets), width), np.float32)
         has[owners[a:b], column[a:b] - start] = 1
