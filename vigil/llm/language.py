@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 UNKNOWN = "und"
 
+#: Stands for anything but letters; no letter, and not 0, so that n-grams of different lengths stay apart.
+EDGE = 1
+
 #: Languages are labels that people give; a table with more of them has something else in its lang column.
 MOST_LANGUAGES = 10_000
 
@@ -32,22 +35,22 @@ def _letters() -> np.ndarray:
 
 
 def _symbols(text: str) -> np.ndarray:
-    """Lower-cased letters as code points, and one 0 for each run of anything else and at both ends."""
+    """Lower-cased letters as code points, and one EDGE for each run of anything else and at both ends."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    codes = np.where(_letters()[codes], codes, 0)
-    codes = np.concatenate([[0], codes, [0]])
-    return codes[(codes != 0) | np.concatenate([[True], codes[:-1] != 0])]
+    codes = np.where(_letters()[codes], codes, EDGE)
+    codes = np.concatenate([[EDGE], codes, [EDGE]])
+    return codes[(codes != EDGE) | np.concatenate([[True], codes[:-1] != EDGE])]
 
 
 def _grams(symbols: np.ndarray, longest: int) -> np.ndarray:
-    """Every n-gram of 1 to `longest` symbols that has no 0 inside; a 0 at an end marks a word's edge."""
-    out = [symbols[symbols != 0]]
+    """Every n-gram of 1 to `longest` symbols but an EDGE alone or inside; one at an end marks a word's edge."""
+    out = [symbols[symbols != EDGE]]
     gram = symbols
     for n in range(2, longest + 1):
         gram = gram[: len(symbols) - n + 1] << 21 | symbols[n - 1 :]
         keep = np.ones(len(gram), bool)
         for k in range(1, n - 1):
-            keep &= symbols[k : k + len(gram)] != 0
+            keep &= symbols[k : k + len(gram)] != EDGE
         out.append(gram[keep])
     return np.concatenate(out)
 
