@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,7 +25,8 @@ def template_bigrams(text: str) -> list[str]:
 
 def bounds(size: int, threshold: float) -> tuple[int, int]:
     """Least and most bigrams of a text whose Dice coefficient with `size` bigrams may reach the threshold."""
-    return math.ceil(size * threshold / (2 - threshold)), math.floor(size * (2 - threshold) / threshold)
+    exact = Fraction(str(threshold))
+    return math.ceil(size * exact / (2 - exact)), math.floor(size * (2 - exact) / exact)
 
 
 def _templates(templates: list[tuple[str, str]], threshold: float) -> Column:
