@@ -8,7 +8,7 @@ from vigil.config import Settings
 from vigil.functions.codec import decode_messages
 from vigil.plans import stages
 
-SETTINGS = Settings(trigger_limit=6, cooldown_ms=4_000, history_limit=8, chunk_rows=3, refresh_ms=1_500, slice_ms=7_000, hot_rows=40)
+SETTINGS = Settings(trigger_limit=6, cooldown_ms=4_000, history_limit=8, chunk_rows=3, refresh_ms=1_500, slice_ms=7_000)
 
 
 def sample():

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from vigil.operators.trigger import collection_triggers, sliced_triggers
+from vigil.operators.trigger import collection_triggers
 
 
 def replay(times, limit, cooldown):
@@ -43,39 +43,34 @@ def frame(spark, devices):
 
 
 @pytest.mark.parametrize(
-    "limit,cooldown,slice_ms", [(7, 5_000, 20_000), (1, 1, 60_000), (20, 61_000, 3_600_000), (100, 600_000, 600_000)]
+    "limit,cooldown,slice_ms", [(7, 5_000, 20_000), (1, 1, 60_000), (20, 61_000, 3_600_000), (100, 600_000, 600_000), (9, 700_000, 60_000)]
 )
-def test_all_ways_follow_the_rule(spark, limit, cooldown, slice_ms):
+def test_slices_follow_the_rule(spark, limit, cooldown, slice_ms):
     devices = patterns(limit)
     expected = sorted((d, t) for d, times in devices.items() for t in replay(times, limit, cooldown))
     events = frame(spark, devices).persist()
-    one_by_one = collection_triggers(events, limit, cooldown, slice_ms, hot_rows=10**9)
-    sliced = sliced_triggers(events, limit, cooldown, slice_ms)
-    assert sorted((r.id, r.eventtime) for r in one_by_one.collect()) == expected
-    assert sorted((r.id, r.eventtime) for r in sliced.collect()) == expected
+    got = collection_triggers(events, limit, cooldown, slice_ms)
+    assert sorted((r.id, r.eventtime) for r in got.collect()) == expected
     events.unpersist()
 
 
-def test_only_large_devices_are_sliced(spark):
-    devices = patterns(3)
-    expected = sorted((d, t) for d, times in devices.items() for t in replay(times, 10, 5_000))
-    mixed = collection_triggers(frame(spark, devices), 10, 5_000, 60_000, hot_rows=350)
-    assert sorted((r.id, r.eventtime) for r in mixed.collect()) == expected
+def test_no_events(spark):
+    assert collection_triggers(spark.createDataFrame([], "id int, eventtime long"), 3, 10, 1_000).count() == 0
 
 
 def test_live_settings(spark):
     """100 events at two per second: first trigger at the 100th, the next one a pause later."""
     times = [1_700_000_000_000 + 500 * i for i in range(2_700)]
-    hits = [r.eventtime for r in collection_triggers(frame(spark, {9: times}), 100, 600_000, 3_600_000, 10**6).collect()]
+    hits = [r.eventtime for r in collection_triggers(frame(spark, {9: times}), 100, 600_000, 3_600_000).collect()]
     assert sorted(hits) == [times[99], times[99 + 1200 + 99], times[99 + 2 * (1200 + 99)]]
 
 
 def test_slice_exits_match_a_walk():
-    from vigil.operators.trigger import COUNTING, _Slice
+    from vigil.operators.trigger import COUNTING, Slice
 
     rng = np.random.default_rng(5)
     times = np.unique(rng.integers(0, 5_000, 400))
-    part = _Slice(times, rng.integers(1, 4, len(times)), 6, 130)
+    part = Slice(times, rng.integers(1, 4, len(times)), 6, 130)
     ends, counts = part.exits()
     for p in range(len(times)):
         seen, pause_end = 0, COUNTING
@@ -94,4 +89,4 @@ def test_slice_exits_match_a_walk():
 
 def test_limits_must_be_positive(spark):
     with pytest.raises(ValueError):
-        collection_triggers(frame(spark, {1: [1]}), 0, 1, 1, 1)
+        collection_triggers(frame(spark, {1: [1]}), 0, 1, 1)

@@ -44,7 +44,6 @@ class Settings:
     # Physical layout. Work ordered within a device is split into time slices: readings are
     # keyed by (device, millisecond), so one slice holds at most `slice_ms` rows of a device.
     slice_ms: int = HOUR_MS
-    hot_rows: int = 1_000_000
     salts: int = 32
     table_buckets: int = 16
 

@@ -4,18 +4,17 @@ Replay rule: take a device's events in time order and count; the event that brin
 `limit` is a trigger at its time T; events before T + cooldown are ignored; then the count starts
 again at zero.
 
-Two exact ways, by the number of events a device has:
-
-* up to `hot_rows`: fold the device's sorted times in one expression;
-* beyond: cut the device into time slices no shorter than the cooldown. What a slice needs to know
-  from its past is small: how far the count had come, or when the pause ends. Each slice is turned,
-  by itself, into a table "state on entry -> state on exit"; tables of neighbouring slices are
-  merged in rounds, and the known first state is then handed down the same tree. No task ever holds
-  more than one slice, or `FAN` tables of at most cooldown + limit + 1 rows.
+The rule is sequential, but what a stretch of time needs to know from its past is small: how far the
+count had come, or when the pause ends. So every device is cut into time slices, and each slice becomes,
+by itself, a table "state on entry -> state on exit". Tables of neighbouring slices are merged in rounds
+up a tree, and the known first state is then handed down it. A row holds one slice, or `FAN` tables of at
+most limit + cooldown + 1 entries, whatever the number of events of a device; one Python call takes many.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,56 +25,13 @@ from vigil.session import materialize
 
 FAN = 8
 COUNTING = np.iinfo(np.int64).min  # `pause_end` of a state that is counting, not pausing
-BEYOND = np.iinfo(np.int64).max  # entry row for pauses that outlast the slice's last event
 
-STATE_TABLE = "id int, node bigint, start bigint, pause_end bigint, count bigint, out_end bigint, out_count bigint"
+NODE = "id int, node bigint, table binary"
 ENTRY = "id int, node bigint, pause_end bigint, count bigint"
 
 
-def collection_triggers(
-    events: DataFrame, limit: int, cooldown_ms: int, slice_ms: int, hot_rows: int
-) -> DataFrame:
-    """(id, eventtime) of every trigger."""
-    if cooldown_ms <= 0 or limit <= 0:
-        raise ValueError("limit and cooldown must be positive")
-    events = events.select(F.col("id").cast("int").alias("id"), "eventtime")
-    hot = events.groupBy("id").count().filter(F.col("count") > hot_rows).select("id")
-    if hot.isEmpty():
-        return _fold(events, limit, cooldown_ms)
-    hot = materialize(hot, "hot")
-    usual = _fold(events.join(hot, "id", "left_anti"), limit, cooldown_ms)
-    return usual.unionByName(
-        sliced_triggers(events.join(hot, "id", "left_semi"), limit, cooldown_ms, slice_ms)
-    )
-
-
-def _fold(events: DataFrame, limit: int, cooldown_ms: int) -> DataFrame:
-    times = events.groupBy("id").agg(F.sort_array(F.collect_list("eventtime")).alias("times"))
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("seen"),
-        F.lit(None).cast("bigint").alias("pause_end"),
-        F.array().cast("array<bigint>").alias("hits"),
-    )
-
-    def step(acc, t):
-        pausing = acc["pause_end"].isNotNull() & (t < acc["pause_end"])
-        hit = acc["seen"] + 1 >= limit
-        fired = F.struct(
-            F.lit(0).cast("bigint").alias("seen"),
-            (t + F.lit(cooldown_ms)).cast("bigint").alias("pause_end"),
-            F.concat(acc["hits"], F.array(t)).alias("hits"),
-        )
-        counted = F.struct(
-            (acc["seen"] + 1).cast("bigint").alias("seen"), acc["pause_end"].alias("pause_end"), acc["hits"].alias("hits")
-        )
-        return F.when(pausing, acc).when(hit, fired).otherwise(counted)
-
-    hits = F.aggregate("times", start, step, lambda acc: acc["hits"])
-    return times.select("id", F.explode(hits).alias("eventtime"))
-
-
-class _Slice:
-    """One slice's distinct times with their event counts, walked by binary search."""
+class Slice:
+    """Distinct times with their event counts, walked by binary search."""
 
     def __init__(self, times, counts, limit, cooldown):
         self.times = times
@@ -112,6 +68,21 @@ class _Slice:
                 return out_end[last], out_count[last]
             last = further
 
+    def table(self) -> Table:
+        n = len(self.times)
+        exit_end, exit_count = self.exits()
+        seen = np.arange(self.limit, dtype=np.int64)
+        hit = self.hit(np.zeros(self.limit, dtype=np.int64), seen)
+        fires = hit < n
+        pause = self.times[np.where(fires, hit, 0)] + self.cooldown
+        back = np.minimum(self.resume(pause), n)
+        stays = fires & (back < n)
+        end = np.where(stays, exit_end[back], np.where(fires, pause, COUNTING))
+        count = np.where(stays, exit_count[back], np.where(fires, 0, seen + self.total[-1]))
+        # A pause began before the first event, so it ends within one cooldown of it.
+        reach = min(int(self.resume(self.times[0] + self.cooldown)) + 1, n)
+        return Table(self.times[0], self.times[-1], end, count, self.times[:reach], exit_end[:reach], exit_count[:reach])
+
     def walk(self, pause_end, count):
         """Times of the triggers in this slice, from one state on entry."""
         hits = []
@@ -120,159 +91,139 @@ class _Slice:
             hit = int(self.hit(np.int64(first), count))
             if hit >= len(self.times):
                 break
-            hits.append(self.times[hit])
+            hits.append(int(self.times[hit]))
             count = 0
             first = int(self.resume(self.times[hit] + self.cooldown))
         return hits
 
 
-def _column(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).to_numpy()
-
+class Table:
+    """States on exit of a stretch of events from `first` to `last`, by the state on entry.
 
-def _one_slice(table: pa.Table, limit: int, cooldown: int) -> _Slice:
-    times, counts = _column(table, "eventtime"), _column(table, "n")
-    order = np.argsort(times)
-    return _Slice(times[order], counts[order], limit, cooldown)
+    `end`, `count`: when the count stood at 0, 1, ... on entry. `key_end`, `key_count`: when a pause is over
+    in time for the event at `keys`. A pause that outlasts the stretch leaves it as it came.
+    """
 
+    def __init__(self, first, last, end, count, keys, key_end, key_count):
+        self.first, self.last = int(first), int(last)
+        self.end, self.count = end, count
+        self.keys, self.key_end, self.key_count = keys, key_end, key_count
 
-def _slice_table(limit: int, cooldown: int, width: int):
-    def build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        node = key[1].as_py()
-        start = node * width
-        part = _one_slice(rows, limit, cooldown)
-        n = len(part.times)
-        exit_end, exit_count = part.exits()
-        # Counting on entry, with 0..limit-1 events seen.
-        seen = np.arange(limit, dtype=np.int64)
-        hit = part.hit(np.zeros(limit, dtype=np.int64), seen)
-        fires = hit < n
-        pause = part.times[np.where(fires, hit, 0)] + cooldown
-        back = np.minimum(part.resume(pause), n)
-        stays = fires & (back < n)
-        out_end = np.where(stays, exit_end[back], np.where(fires, pause, COUNTING))
-        out_count = np.where(stays, exit_count[back], np.where(fires, 0, seen + part.total[-1]))
-        # Pausing on entry: the pause ends within one cooldown of the start, so only the events
-        # up to there, and the first one beyond, can be where counting resumes.
-        reach = min(int(part.resume(start + cooldown)) + 1, n)
-        resume_pos = np.append(np.arange(reach), n)
-        return _state_table(
-            key[0].as_py(), node, start,
-            np.concatenate([np.full(limit, COUNTING), part.times[:reach], [BEYOND]]),
-            np.concatenate([seen, np.zeros(reach + 1, dtype=np.int64)]),
-            np.concatenate([out_end, exit_end[resume_pos]]),
-            np.concatenate([out_count, exit_count[resume_pos]]),
+    def leave(self, end, count):
+        at_key = np.minimum(np.searchsorted(self.keys, end), len(self.keys) - 1)
+        counting = end == COUNTING
+        at_count = np.where(counting, count, 0)
+        beyond = ~counting & (end > self.last)
+        return (
+            np.where(counting, self.end[at_count], np.where(beyond, end, self.key_end[at_key])),
+            np.where(counting, self.count[at_count], np.where(beyond, 0, self.key_count[at_key])),
         )
 
-    return build
-
-
-def _state_table(device, node, start, pause_end, count, out_end, out_count) -> pa.Table:
-    size = len(pause_end)
-    return pa.table({
-        "id": pa.array(np.full(size, device, dtype=np.int32)),
-        "node": pa.array(np.full(size, node, dtype=np.int64)),
-        "start": pa.array(np.full(size, start, dtype=np.int64)),
-        "pause_end": pa.array(pause_end), "count": pa.array(count),
-        "out_end": pa.array(out_end), "out_count": pa.array(out_count),
-    })
-
-
-class _Node:
-    """Entry-to-exit table of one node of the tree, sorted by entry."""
-
-    def __init__(self, node: int, columns: dict[str, np.ndarray]):
-        self.node = node
-        self.start = int(columns["start"][0])
-        self.pause_end, self.count = columns["pause_end"], columns["count"]
-        self.out_end, self.out_count = columns["out_end"], columns["out_count"]
-
-    def enter(self, end, count):
-        """A pause that is over before the node starts is a count of zero."""
-        going_on = end > self.start
-        return np.where(going_on, end, COUNTING), np.where(end == COUNTING, count, 0)
-
-    def leave(self, end, count):
-        end, count = self.enter(end, count)
-        row = np.where(end == COUNTING, count, np.searchsorted(self.pause_end, end))
-        return self.out_end[row], self.out_count[row]
-
-
-def _children(tables: pa.Table) -> list[_Node]:
-    """The nodes of one group in time order."""
-    columns = {name: _column(tables, name) for name in ("node", "start", "pause_end", "count", "out_end", "out_count")}
-    order = np.lexsort((columns["count"], columns["pause_end"], columns["node"]))
-    columns = {name: values[order] for name, values in columns.items()}
-    nodes, firsts = np.unique(columns["node"], return_index=True)
-    ends = [*firsts[1:], len(order)]
-    return [
-        _Node(int(node), {name: values[a:b] for name, values in columns.items()})
-        for node, a, b in zip(nodes, firsts, ends)
-    ]
-
-
-def _merge_tables(key: tuple[pa.Scalar, ...], tables: pa.Table) -> pa.Table:
-    first, *rest = _children(tables)
-    end, count = first.out_end, first.out_count
-    for child in rest:
-        end, count = child.leave(end, count)
-    return _state_table(key[0].as_py(), key[1].as_py(), first.start, first.pause_end, first.count, end, count)
-
-
-def _hand_down(key: tuple[pa.Scalar, ...], entry: pa.Table, tables: pa.Table) -> pa.Table:
-    end, count = _column(entry, "pause_end")[0], _column(entry, "count")[0]
-    nodes, ends, counts = [], [], []
-    for child in _children(tables):
-        end, count = child.enter(end, count)
-        nodes.append(child.node)
-        ends.append(int(end))
-        counts.append(int(count))
-        end, count = child.leave(end, count)
-    return pa.table({
-        "id": pa.array([key[0].as_py()] * len(nodes), pa.int32()), "node": pa.array(nodes, pa.int64()),
-        "pause_end": pa.array(ends, pa.int64()), "count": pa.array(counts, pa.int64()),
-    })
-
-
-def _walk_slice(limit: int, cooldown: int):
-    def walk(key: tuple[pa.Scalar, ...], entry: pa.Table, rows: pa.Table) -> pa.Table:
-        part = _one_slice(rows, limit, cooldown)
-        hits = part.walk(_column(entry, "pause_end")[0], _column(entry, "count")[0])
-        return pa.table({
-            "id": pa.array([key[0].as_py()] * len(hits), pa.int32()), "eventtime": pa.array(hits, pa.int64())
-        })
-
-    return walk
-
-
-def sliced_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_ms: int) -> DataFrame:
-    """`collection_triggers` for devices of any size."""
-    width = max(slice_ms, cooldown_ms)
+    def dump(self) -> bytes:
+        head = [self.first, self.last, len(self.end), len(self.keys)]
+        parts = (head, self.end, self.count, self.keys, self.key_end, self.key_count)
+        return np.concatenate([np.asarray(p, dtype=np.int64) for p in parts]).tobytes()
+
+    @staticmethod
+    def load(data: bytes) -> Table:
+        numbers = np.frombuffer(data, dtype=np.int64)
+        first, last, limit, keys = numbers[:4].tolist()
+        ends = np.cumsum([limit, limit, keys, keys])
+        return Table(first, last, *np.split(numbers[4:], ends))
+
+    @staticmethod
+    def merged(tables: list[Table], cooldown: int) -> Table:
+        """The table of neighbouring stretches, given in time order."""
+        first = tables[0].first
+        rows = [(tables[0].end, tables[0].count)]
+        keys = []
+        for i, table in enumerate(tables):
+            rows = [table.leave(*row) for row in rows] if i else rows
+            # A pause from before `first` may end here, after the stretches before have passed it on.
+            if not keys or keys[-1][-1] < first + cooldown:
+                keys.append(table.keys)
+                rows.append((table.key_end, table.key_count))
+        (end, count), *by_key = rows
+        return Table(first, tables[-1].last, end, count, np.concatenate(keys),
+                     np.concatenate([r[0] for r in by_key]), np.concatenate([r[1] for r in by_key]))
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        yield from batch.to_pylist()
+
+
+def _batches(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], size: int = 10_000):
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+
+
+def _nodes(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    return _batches(rows, ["id", "node", "table"], [pa.int32(), pa.int64(), pa.binary()], size=64)
+
+
+def _slice(row: dict, limit: int, cooldown: int) -> Slice:
+    return Slice(np.array(row["times"], np.int64), np.array(row["counts"], np.int64), limit, cooldown)
+
+
+def collection_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_ms: int) -> DataFrame:
+    """(id, eventtime) of every trigger. The slice length changes no result."""
+    if cooldown_ms <= 0 or limit <= 0:
+        raise ValueError("limit and cooldown must be positive")
+    spread = slice_start(F.col("eventtime"), slice_ms) / F.lit(slice_ms)
     # Events of one millisecond act as one row with a count, combined before the shuffle.
-    counted = events.groupBy("id", "eventtime").agg(F.count("*").alias("n"))
-    counted = counted.withColumn("node", (slice_start(F.col("eventtime"), width) / width).cast("bigint"))
-
-    table = materialize(
-        counted.groupBy("id", "node").applyInArrow(_slice_table(limit, cooldown_ms, width), STATE_TABLE)
-    )
-    low, high = table.agg(F.min("node"), F.max("node")).first()
-    if low is None:
-        return events.limit(0)
-    # Nodes of the next round are numbered from 0; rounds go on until a device has one node.
-    levels, span, offset = [], high - low + 1, low
+    counted = events.select(F.col("id").cast("int").alias("id"), "eventtime").groupBy("id", "eventtime").agg(
+        F.count("*").alias("n")).withColumn("node", spread.cast("bigint"))
+    slices = materialize(
+        counted.groupBy("id", "node").agg(F.sort_array(F.collect_list(F.struct("eventtime", "n"))).alias("rows"))
+        .select("id", "node", F.col("rows.eventtime").alias("times"), F.col("rows.n").alias("counts")), "slices")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _nodes((r["id"], r["node"], _slice(r, limit, cooldown_ms).table().dump()) for r in _rows(batches))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _nodes((
+            r["id"], r["parent"],
+            Table.merged([Table.load(c["table"]) for c in r["children"]], cooldown_ms).dump(),
+        ) for r in _rows(batches))
+
+    def hand_down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def states() -> Iterator[tuple]:
+            for r in _rows(batches):
+                end, count = np.int64(r["pause_end"]), np.int64(r["count"])
+                for child in r["children"]:
+                    yield r["id"], child["node"], int(end), int(count)
+                    end, count = Table.load(child["table"]).leave(end, count)
+
+        return _batches(states(), ["id", "node", "pause_end", "count"], [pa.int32(), pa.int64(), pa.int64(), pa.int64()])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = ((r["id"], t) for r in _rows(batches)
+                for t in _slice(r, limit, cooldown_ms).walk(r["pause_end"], r["count"]))
+        return _batches(hits, ["id", "eventtime"], [pa.int32(), pa.int64()])
+
+    low, high = slices.agg(F.min("node"), F.max("node")).first()
+    # Nodes of the next round are numbered from 0; rounds go on until every device has one node.
+    tables, levels = slices.select("id", "node", "times", "counts").mapInArrow(build, NODE), []
+    span, offset = (0, 0) if low is None else (high - low + 1, low)
     while span > 1:
-        table = table.withColumn("parent", F.floor((F.col("node") - F.lit(offset)) / F.lit(FAN)).cast("bigint"))
-        levels.append(table)
-        table = materialize(table.groupBy("id", "parent").applyInArrow(_merge_tables, STATE_TABLE))
+        parent = F.floor((F.col("node") - F.lit(offset)) / F.lit(FAN)).cast("bigint")
+        level = materialize(tables.groupBy("id", parent.alias("parent")).agg(
+            F.sort_array(F.collect_list(F.struct("node", "table"))).alias("children")), "trigger-level")
+        levels.append(level)
+        tables = level.mapInArrow(merge, NODE)
         span, offset = -(-span // FAN), 0
 
-    entry = table.groupBy("id").agg(
-        F.min("node").alias("node"), F.lit(COUNTING).alias("pause_end"), F.lit(0).cast("bigint").alias("count")
-    )
-    while levels:
-        tables = levels.pop().groupBy("id", "parent")
-        entry = materialize(entry.groupBy("id", "node").cogroup(tables).applyInArrow(_hand_down, ENTRY))
-    return (
-        entry.groupBy("id", "node").cogroup(counted.groupBy("id", "node"))
-        .applyInArrow(_walk_slice(limit, cooldown_ms), "id int, eventtime bigint")
-    )
+    top = levels[-1].select("id", F.col("parent").alias("node")) if levels else slices.select("id", "node")
+    states = top.select("id", "node", F.lit(COUNTING).alias("pause_end"), F.lit(0).cast("bigint").alias("count"))
+    for level in reversed(levels):
+        states = level.join(states.withColumnRenamed("node", "parent"), ["id", "parent"]).select(
+            "id", "children", "pause_end", "count").mapInArrow(hand_down, ENTRY)
+    return slices.join(states, ["id", "node"]).select("id", "times", "counts", "pause_end", "count").mapInArrow(
+        walk, "id int, eventtime bigint")

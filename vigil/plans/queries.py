@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.config import DAY_MS, Settings
+from vigil.config import DAY_MS, HOUR_MS, Settings
 from vigil.functions.codec import (
     decode_messages,
     encode_events,
@@ -140,7 +140,7 @@ def snapshot_windows(spark, sf_dir):
 
 def _triggers(spark, sf_dir, settings=REPLAY):
     return trigger.collection_triggers(
-        _events(spark, sf_dir), settings.trigger_limit, settings.cooldown_ms, settings.slice_ms, settings.hot_rows
+        _events(spark, sf_dir), settings.trigger_limit, settings.cooldown_ms, settings.slice_ms
     )
 
 
@@ -151,10 +151,8 @@ def collection_triggers(spark, sf_dir):
 
 @query
 def collection_triggers_sliced(spark, sf_dir):
-    """The way of very large devices, here for all of them."""
-    return trigger.sliced_triggers(
-        _events(spark, sf_dir), REPLAY.trigger_limit, REPLAY.cooldown_ms, REPLAY.slice_ms
-    )
+    """Slices much shorter than the pause, so that pauses pass through many of them."""
+    return _triggers(spark, sf_dir, replace(REPLAY, slice_ms=6 * HOUR_MS))
 
 
 def _history(spark, sf_dir):

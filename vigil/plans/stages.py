@@ -33,9 +33,7 @@ def stored_readings(events: DataFrame, base: DataFrame | None = None) -> DataFra
 
 def count_and_collect_events(events: DataFrame, settings: Settings) -> DataFrame:
     """The training rows of every trigger: (device_id, trained_at, rn, chunk, eventtime, value)."""
-    triggers = collection_triggers(
-        events, settings.trigger_limit, settings.cooldown_ms, settings.slice_ms, settings.hot_rows
-    )
+    triggers = collection_triggers(events, settings.trigger_limit, settings.cooldown_ms, settings.slice_ms)
     # Few rows that cost a pass over everything and are read more than once.
     triggers = materialize(triggers, "triggers")
     return history_at_triggers(
