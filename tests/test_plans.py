@@ -30,7 +30,7 @@ def test_no_cross_or_loop_joins(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan
     assert "NestedLoopJoin" not in plan
-    assert "SinglePartition" not in plan or name == "snapshot_windows"
+    assert "SinglePartition" not in plan
 
 
 def test_scan_reads_only_what_is_needed(spark):

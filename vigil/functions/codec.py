@@ -16,27 +16,33 @@ def _parsed(raw: DataFrame, data: str, schema) -> DataFrame:
     return raw.select(data, F.explode(F.array(parsed)).alias("m"))
 
 
-def _complete():
+def _value():
+    return derived_value(F.col("m.source.base"), F.col("m.variation"), F.col("m.isanomaly"))
+
+
+def _usable():
+    """Complete, and with a value that the readings table can hold; NaN and infinity cannot pass."""
     names = ("m.source.id", "m.source.base", "m.eventtime", "m.variation", "m.isanomaly")
     condition = F.lit(True)
     for name in names:
         condition = condition & F.col(name).isNotNull()
-    return condition
+    within = (_value() > F.lit(-(2.0**31) - 1)) & (_value() < F.lit(2.0**31))
+    return condition & F.coalesce(within, F.lit(False))
 
 
 def decode_messages(raw: DataFrame, data: str = "data") -> DataFrame:
-    """Raw sensor messages to device events. Messages that lack a field are left to `rejected_messages`."""
-    value = derived_value(F.col("m.source.base"), F.col("m.variation"), F.col("m.isanomaly"))
-    return _parsed(raw, data, RAW_MESSAGE).filter(_complete()).select(
+    """Raw sensor messages to device events. What lacks a field or has no storable value is left to
+    `rejected_messages`."""
+    return _parsed(raw, data, RAW_MESSAGE).filter(_usable()).select(
         F.col("m.source.id").alias("id"),
         F.col("m.eventtime").alias("eventtime"),
-        value.alias("value"),
+        _value().alias("value"),
         F.col("m.source.base").alias("base"),
     )
 
 
 def rejected_messages(raw: DataFrame, data: str = "data") -> DataFrame:
-    return _parsed(raw, data, RAW_MESSAGE).filter(~_complete()).select(data)
+    return _parsed(raw, data, RAW_MESSAGE).filter(~_usable()).select(data)
 
 
 def with_event_time(events: DataFrame) -> DataFrame:

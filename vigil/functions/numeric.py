@@ -40,8 +40,7 @@ def model_name(device_id: Column, trained_at_ms: Column) -> Column:
 
 def spread(n: Column, s: Column, ss: Column) -> Column:
     """n times the cluster radius. Products are exact decimals, so long histories cannot overflow."""
-    wide = "decimal(20,0)"
-    squares = n.cast(wide) * ss.cast(wide) - s.cast(wide) * s.cast(wide)
+    squares = n.cast("decimal(10,0)") * ss.cast("decimal(28,0)") - s.cast("decimal(19,0)") * s.cast("decimal(19,0)")
     return F.sqrt(squares.cast("double"))
 
 
@@ -55,7 +54,10 @@ def radius(n: Column, s: Column, ss: Column) -> Column:
 
 def normalized_distance(bp: Column, n: Column, s: Column, spread_: Column) -> Column:
     """Distance to the centroid in units of the radius; 0 without a model, infinite off a point cluster."""
-    deviation = F.abs(bp * n - s).cast("double")
+    # A 32-bit value times a longer count may pass 64 bits; both ways are exact.
+    exact = F.when(n < 2**31, F.abs(bp * n - s).cast("double")).otherwise(
+        F.abs(bp.cast("decimal(10,0)") * n.cast("decimal(19,0)") - s).cast("double"))
+    deviation = exact
     return (
         F.when(n.isNull(), F.lit(0.0))
         .when(spread_ > 0, deviation / spread_)

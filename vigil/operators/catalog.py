@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.numeric import slice_start
@@ -13,19 +13,22 @@ def refresh_tick(time_ms: Column, refresh_ms: int) -> Column:
     return slice_start(time_ms, refresh_ms)
 
 
-def refresh_ticks(span: DataFrame, refresh_ms: int) -> DataFrame:
-    """Every tick from the first to the last of `span` (one row: first_ms, last_ms)."""
-    first, last = refresh_tick(F.col("first_ms"), refresh_ms), refresh_tick(F.col("last_ms"), refresh_ms)
-    return span.select(F.explode(F.sequence(first, last, F.lit(refresh_ms).cast("bigint"))).alias("tick"))
+def refresh_ticks(spark: SparkSession, first_ms: int, last_ms: int, refresh_ms: int) -> DataFrame:
+    """Every tick from that of `first_ms` to that of `last_ms`."""
+    first = first_ms // refresh_ms * refresh_ms
+    return spark.range(first, last_ms + 1, refresh_ms).withColumnRenamed("id", "tick")
 
 
 def snapshot_windows(events: DataFrame, refresh_ms: int) -> DataFrame:
-    """Each tick with the events that are scored from its snapshot; idle ticks have none."""
-    span = events.agg(F.min("eventtime").alias("first_ms"), F.max("eventtime").alias("last_ms"))
+    """Each tick with the events that are scored from its snapshot; idle ticks have none.
+
+    The first and last time are looked up when this is called."""
+    first, last = events.agg(F.min("eventtime"), F.max("eventtime")).first()
     used = events.groupBy(refresh_tick(F.col("eventtime"), refresh_ms).alias("tick")).agg(
         F.count("*").alias("n_events")
     )
-    return refresh_ticks(span.filter("first_ms IS NOT NULL"), refresh_ms).join(used, "tick", "left").select(
+    span = (0, -1) if first is None else (first, last)
+    return refresh_ticks(events.sparkSession, *span, refresh_ms).join(used, "tick", "left").select(
         "tick", F.coalesce("n_events", F.lit(0)).alias("n_events")
     )
 

@@ -82,7 +82,7 @@ def fit_models(history: DataFrame, *version: str) -> DataFrame:
     bp = F.col("value").cast("bigint")
     trained_at = [] if "trained_at" in version else [F.max("eventtime").alias("trained_at")]
     stats = history.groupBy("device_id", *version).agg(
-        F.count(bp).alias("n"), F.sum(bp).alias("s"), F.sum(bp * bp).alias("ss"), *trained_at
+        F.count(bp).alias("n"), F.sum(bp).alias("s"), F.sum((bp * bp).cast("decimal(19,0)")).cast("decimal(28,0)").alias("ss"), *trained_at
     )
     return stats.filter(F.col("n") > 0).select(
         F.col("device_id").alias("id"),

@@ -64,6 +64,11 @@ def _plain_times(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
 
 
+def _plain_models(models: DataFrame) -> DataFrame:
+    """The exact sum of squares as other engines print it; it fits here."""
+    return models.withColumn("ss", F.col("ss").cast("bigint"))
+
+
 def _loaded_at():
     return F.lit(LOADED_AT).cast("timestamp")
 
@@ -210,7 +215,7 @@ def collection_log(spark, sf_dir):
 
 @query
 def train_models(spark, sf_dir):
-    return training.fit_models(_history(spark, sf_dir))
+    return _plain_models(training.fit_models(_history(spark, sf_dir)))
 
 
 @query
@@ -233,7 +238,7 @@ def _versions(spark, sf_dir):
 
 @query
 def model_versions(spark, sf_dir):
-    return _versions(spark, sf_dir)
+    return _plain_models(_versions(spark, sf_dir))
 
 
 @query
@@ -243,7 +248,7 @@ def model_snapshots(spark, sf_dir):
 
 @query
 def model_catalog(spark, sf_dir):
-    return catalog.latest_models(_versions(spark, sf_dir))
+    return _plain_models(catalog.latest_models(_versions(spark, sf_dir)))
 
 
 # --- scores and alerts ------------------------------------------------------------------------

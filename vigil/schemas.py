@@ -9,7 +9,7 @@ RAW_MESSAGE = T.StructType([
     ])),
     T.StructField("eventtime", T.LongType()),
     T.StructField("variation", T.DoubleType()),
-    T.StructField("isanomaly", T.IntegerType()),
+    T.StructField("isanomaly", T.DoubleType()),
 ])
 
 DEVICE_EVENT = T.StructType([
@@ -31,7 +31,7 @@ MODEL = T.StructType([
     T.StructField("model", T.StringType()),
     T.StructField("n", T.LongType()),
     T.StructField("s", T.LongType()),
-    T.StructField("ss", T.LongType()),
+    T.StructField("ss", T.DecimalType(28, 0)),
     T.StructField("centroid", T.DoubleType()),
     T.StructField("radius", T.DoubleType()),
     T.StructField("trained_at", T.LongType()),
@@ -53,6 +53,20 @@ LOADED_ROW = T.StructType([
     T.StructField("chunk", T.IntegerType()),
 ])
 
+LINE = T.StructType([
+    T.StructField("id", T.IntegerType()),
+    T.StructField("line", T.StringType()),
+])
+
+REJECT = T.StructType([
+    T.StructField("data", T.BinaryType()),
+])
+
+TRIGGER = T.StructType([
+    T.StructField("id", T.IntegerType()),
+    T.StructField("eventtime", T.LongType()),
+])
+
 ALERT_RECORD = T.StructType([
     T.StructField("id", T.IntegerType()),
     T.StructField("eventtime", T.LongType()),

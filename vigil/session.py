@@ -27,15 +27,19 @@ def build_session(app: str = "vigil", master: str | None = None, **conf) -> Spar
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster or `setCheckpointDir` names it.
 
-    Only where none is set, as on one machine in tests, is a new local one made and kept.
+    Only where none is set on a local master is a new local one made and kept; on a cluster that is an
+    error, as each machine would write to a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -50,4 +54,8 @@ def materialize(df: DataFrame, name: str = "step", folder: str | None = None) ->
     spark = df.sparkSession
     folder = folder or new_folder(spark, name)
     df.write.mode("overwrite").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    table = spark.read.schema(df.schema).parquet(folder)
+    # Spark writes a file even for no rows: without one, the executors wrote somewhere else.
+    if not table.inputFiles():
+        raise RuntimeError(f"nothing was written to {folder}; is it shared by driver and executors?")
+    return table
