@@ -63,7 +63,9 @@ def star_pairs(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def cross_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v): links between classes of one bucket that the stars left in different components."""
+    """(u, v): components of the stars that a link between two classes of one bucket joins, by their roots.
+
+    Links of a class to many of another component are one row, before they are shuffled."""
     placed = materialize(shared.join(roots, "node", "left").select(
         "bucket", "node", F.coalesce("root", "node").alias("root")), "placed-lines")
     major = materialize(
@@ -77,7 +79,8 @@ def cross_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: i
                          F.col("shingles").alias("v_shingles"))
     once = (F.col("v_root") == F.col("major")) | (F.col("u") < F.col("v"))
     return left.join(right, (left["bucket"] == right["bucket"]) & (F.col("u_root") != F.col("v_root")) & once
-                     & jaccard_at_least("u_shingles", "v_shingles", percent)).select("u", "v").distinct()
+                     & jaccard_at_least("u_shingles", "v_shingles", percent)).select(
+        F.greatest("u_root", "v_root").alias("u"), F.least("u_root", "v_root").alias("v")).distinct()
 
 
 def fuzzy_lines(docs: DataFrame, percent: int = 85, size: int = 8, bands: int = 6, rows: int = 3) -> DataFrame:
