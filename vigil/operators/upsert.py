@@ -28,11 +28,12 @@ def merge_upsert(base: DataFrame, updates: list[DataFrame], keys: list[str]) ->
     return stacked.groupBy(*keys).agg(*[newest(c) for c in columns])
 
 
-def merge_log(writes: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Per key and column the value with the highest `order`, which must not repeat within a key."""
+def merge_log(writes: DataFrame, keys: list[str], order: str, first: bool = False) -> DataFrame:
+    """Per key and column the value with the highest, or lowest, `order`, which must not repeat within a key."""
 
     def newest(name):
-        return F.max_by(name, F.when(F.col(name).isNotNull(), F.col(order))).alias(name)
+        chosen = F.min_by if first else F.max_by
+        return chosen(name, F.when(F.col(name).isNotNull(), F.col(order))).alias(name)
 
     columns = [c for c in writes.columns if c not in (*keys, order)]
     return writes.groupBy(*keys).agg(*[newest(c) for c in columns])

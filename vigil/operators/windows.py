@@ -35,6 +35,20 @@ def window_batches(events: DataFrame, length: str, lateness: str | None = None)
     )
 
 
+def score_batches(scores: DataFrame, length: str, threshold: float, lateness: str | None = None) -> DataFrame:
+    """One row per window of scored events: size, events beyond the threshold, greatest distance."""
+    if lateness is not None:
+        scores = scores.withWatermark("event_ts", lateness)
+    return scores.groupBy(F.window("event_ts", length).alias("w")).agg(
+        F.count("*").alias("batch_rows"),
+        F.count_if(F.col("distance") > F.lit(float(threshold))).alias("anomalies"),
+        F.max("distance").alias("greatest_distance"),
+    ).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        "batch_rows", "anomalies", "greatest_distance",
+    )
+
+
 def count_per_key(events: DataFrame, key: str = "id") -> DataFrame:
     return events.groupBy(key).agg(F.count("*").alias("n_events"))
 

@@ -41,11 +41,18 @@ def as_messages(events: DataFrame) -> DataFrame:
 
 
 def as_damaged_messages(events: DataFrame) -> DataFrame:
-    """The same, but `error` messages are cut short and `view` messages have no time."""
+    """The same, but `error` messages are cut short, `view` messages have no time, and some `click` messages
+    have a base that is no number or too large, or a marker with a fraction."""
+    click = F.col("event_type") == "click"
+    last = F.get_json_object("props", "$.k").cast("int") % 10
     text = _message_text()
     damaged = (
         F.when(F.col("event_type") == "error", F.substring(text, 1, 30))
         .when(F.col("event_type") == "view", F.regexp_replace(text, '"eventtime":[0-9]+,', ""))
+        .when(click & (last == 1), F.regexp_replace(text, '"base":[0-9]+', '"base":NaN'))
+        .when(click & (last == 2), F.regexp_replace(text, '"base":[0-9]+', '"base":1e12'))
+        .when(click & (last == 3), F.replace(text, F.lit('"isanomaly":1}'), F.lit('"isanomaly":1.0}')))
+        .when(click & (last == 4), F.replace(text, F.lit('"isanomaly":1}'), F.lit('"isanomaly":5.5}')))
         .otherwise(text)
     )
     return events.select(damaged.cast("binary").alias("data"))

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import argparse
-import logging
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.config import Settings
 from vigil.functions.codec import with_event_time
-from vigil.operators.scoring import anomaly_lines
+from vigil.operators.scoring import anomaly_lines, collection_lines
 from vigil.operators.training import trained_lines
 from vigil.session import build_session
 from vigil.sources.messages import read_messages
@@ -21,15 +20,20 @@ from vigil.streaming import jobs
 def start_all(spark: SparkSession, settings: Settings, root: str) -> list[StreamingQuery]:
     """Persist, train and score as three queries over one message source and one store.
 
-    New models and anomalies are also shown in the driver's log.
+    Collections, new models and anomalies each leave a line in the store's line table.
     """
     store = jobs.Store.under(f"{root}/tables", settings)
     messages = read_messages(spark, settings)
-    new_models = line_sink(lambda models: trained_lines(models, "MODEL SAVED"))
-    found = line_sink(lambda rows: anomaly_lines(with_event_time(rows), settings.score_window))
+    trained = line_sink(store.lines, "trained", trained_lines)
+    saved = line_sink(store.lines, "saved", lambda models: trained_lines(models, "MODEL SAVED"))
+    collected = line_sink(
+        store.lines, "collected", lambda rows: collection_lines(with_event_time(rows), settings.training_window))
+    found = line_sink(
+        store.lines, "anomalies", lambda rows: anomaly_lines(with_event_time(rows), settings.score_window))
     return [
         jobs.start_persisting(messages, store, f"{root}/checkpoints/persist", settings),
-        jobs.start_training(messages, store, f"{root}/checkpoints/train", settings, sinks=[new_models]),
+        jobs.start_training(
+            messages, store, f"{root}/checkpoints/train", settings, sinks=[trained, saved], taps=[collected]),
         jobs.start_scoring(messages, store, f"{root}/checkpoints/score", settings, sinks=[found]),
     ]
 
@@ -52,8 +56,9 @@ def parse(argv: list[str] | None = None) -> tuple[Settings, str]:
 
 def main(argv: list[str] | None = None) -> None:
     settings, root = parse(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = build_session("vigil-live")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(f"{root}/scratch")
     start_all(spark, settings, root)
     spark.streams.awaitAnyTermination()
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigil.plans.queries import LOADED_AT, REPLAY
+from vigil.plans.queries import LOADED_AT, REPLAY, TRAINED_AT
 
 LIMIT, COOLDOWN = REPLAY.trigger_limit, REPLAY.cooldown_ms
 HISTORY, CHUNK, REFRESH = REPLAY.history_limit, REPLAY.chunk_rows, REPLAY.refresh_ms
@@ -103,22 +103,55 @@ def _stamp(ms):
     return f"make_timestamp({ms} * 1000)"
 
 
+# The events before the middle of the table's time, and those of them that come first.
+HALVES = """
+middle AS (SELECT (min(eventtime) + max(eventtime)) // 2 AS half_time FROM dev),
+halves AS (SELECT dev.*, eventtime < half_time AS early, eventtime < half_time AND event_id % 7 <> 0 AS in_first
+           FROM dev, middle)"""
+
+
+def _late(stage, length, lateness):
+    return f"""
+SELECT '{stage}' AS stage, {_stamp(f'w * {length}')} AS window_start, {_stamp(f'(w + 1) * {length}')} AS window_end,
+       count(*) AS batch_rows, min(eventtime) AS first_eventtime, max(eventtime) AS last_eventtime
+FROM (SELECT *, eventtime // {length} AS w FROM halves)
+WHERE (in_first OR (w + 1) * {length} > (SELECT max(eventtime) - {lateness} FROM halves WHERE in_first))
+  AND (w + 1) * {length} <= (SELECT max(eventtime) - {lateness} FROM halves)
+GROUP BY w"""
+
+
 def oracle_sql() -> dict[str, str]:
     dev_models = _fit("models", "(SELECT id, eventtime, bp AS value FROM dev)", "max(eventtime)")
     latest_models = _fit("models", "latest", "max(eventtime)")
     replay = _replay("dev")
     text = "strftime({}, '%Y-%m-%d %H:%M:%S.%g')"
+    rejects = _sql(MSG, select="""
+SELECT CASE WHEN event_type = 'error' THEN substr(body, 1, 30)
+            WHEN event_type = 'view' THEN replace(body, '"eventtime":' || eventtime || ',', '')
+            WHEN k % 10 = 1 THEN replace(body, '"base":' || base, '"base":NaN')
+            ELSE replace(body, '"base":' || base, '"base":1e12') END AS data
+FROM txt WHERE event_type IN ('error', 'view') OR event_type = 'click' AND k % 10 IN (1, 2)""")
+    live_training = (f"""
+latest AS (
+  SELECT * FROM (SELECT id, eventtime, trunc(value)::INT AS value, count(*) OVER (PARTITION BY id) AS events,
+                        row_number() OVER (PARTITION BY id ORDER BY eventtime DESC) AS rn FROM msg)
+  WHERE rn <= {HISTORY} AND events >= {LIMIT})""", _fit("models", "latest", f"{TRAINED_AT}::BIGINT"))
     window_start = _stamp("(eventtime // 2000 * 2000)")
     window_end = _stamp("(eventtime // 2000 * 2000 + 2000)")
+    anomaly_log = _sql(*_msg_scores(), select=f"""
+SELECT id, eventtime, 'Anomaly Detected: Event: (' || id || ', ' || eventtime || ', ' || trunc(value)::BIGINT ||
+       '), Timestamp: ' || {text.format(_stamp('eventtime'))} || ', Window: [' || {text.format(window_start)} || ', ' ||
+       {text.format(window_end)} || '), Current Time ' || {text.format(LOADED)} AS line
+FROM scored WHERE distance > 3.0::DOUBLE""")
     return {
         "decode_events": _sql(MSG, select="SELECT id, eventtime, value, base FROM msg"),
-        "decode_damaged": _sql(
-            MSG, select="SELECT id, eventtime, value, base FROM msg WHERE event_type NOT IN ('error', 'view')"
-        ),
-        "reject_messages": _sql(MSG, select="""
-SELECT CASE WHEN event_type = 'error' THEN substr(body, 1, 30)
-            ELSE replace(body, '"eventtime":' || eventtime || ',', '') END AS data
-FROM txt WHERE event_type IN ('error', 'view')"""),
+        "decode_damaged": _sql(MSG, select="""
+SELECT id, eventtime, CASE WHEN event_type = 'click' AND k % 10 = 4
+         THEN base::DOUBLE * 1.1::DOUBLE + variation::DOUBLE ELSE value END AS value, base::DOUBLE AS base
+FROM raw JOIN (SELECT event_id, value FROM msg) USING (event_id)
+WHERE event_type NOT IN ('error', 'view') AND NOT (event_type = 'click' AND k % 10 IN (1, 2))"""),
+        "reject_messages": rejects,
+        "reject_stream": rejects,
         "key_triples": _sql(MSG, select="SELECT id, eventtime, trunc(value)::BIGINT AS value FROM msg"),
         "event_time": _sql(MSG, select=f"SELECT id, eventtime, {_stamp('eventtime')} AS event_ts FROM msg"),
         "stored_readings": _sql(MSG, select="SELECT id AS device_id, eventtime, trunc(value)::INT AS value FROM msg"),
@@ -171,13 +204,12 @@ SELECT e.id, e.eventtime, e.value, m.model, {_distance('e.bp')} AS distance FROM
         "score_events_asof": _sql(DEV, *replay, select=f"""
 SELECT e.id, e.eventtime, e.value, m.model, {_distance('e.bp')} AS distance
 FROM dev e ASOF LEFT JOIN visible m ON e.id = m.id AND e.eventtime >= m.effective_from"""),
-        "score_batches_2s": _windows(2_000, source=MSG, rows="msg"),
+        "score_batches_2s": _sql(*_msg_scores(), select=f"""
+SELECT {_stamp('w * 2000')} AS window_start, {_stamp('(w + 1) * 2000')} AS window_end, count(*) AS batch_rows,
+       count_if(distance > 3.0::DOUBLE)::BIGINT AS anomalies, max(distance) AS greatest_distance
+FROM (SELECT *, eventtime // 2000 AS w FROM scored) GROUP BY w"""),
         "anomalies": _sql(*_msg_scores(), select="SELECT * FROM scored WHERE distance > 3.0::DOUBLE"),
-        "anomaly_log": _sql(*_msg_scores(), select=f"""
-SELECT id, eventtime, 'Anomaly Detected: Event: (' || id || ', ' || eventtime || ', ' || trunc(value)::BIGINT ||
-       '), Timestamp: ' || {text.format(_stamp('eventtime'))} || ', Window: [' || {text.format(window_start)} || ', ' ||
-       {text.format(window_end)} || '), Current Time ' || {text.format(LOADED)} AS line
-FROM scored WHERE distance > 3.0::DOUBLE"""),
+        "anomaly_log": anomaly_log,
         "alerts": _sql(*_msg_scores(), select=f"""
 SELECT id, {_stamp('eventtime')} AS eventtime, {LOADED} AS notified_at, value, base
 FROM scored WHERE distance > 3.0::DOUBLE"""),
@@ -196,6 +228,21 @@ WHERE distance > 3.0::DOUBLE"""),
         ),
         "persist_stream": _sql(MSG, select="SELECT id AS device_id, eventtime, trunc(value)::INT AS value FROM msg"),
         "counter_stream": _sql(DEV, select=f"""
-SELECT id, 1::BIGINT AS n_triggers FROM dev GROUP BY id HAVING count(*) >= {LIMIT}"""),
+SELECT id, eventtime FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY eventtime) AS rn FROM dev)
+WHERE rn = {LIMIT}"""),
+        "counter_restart_stream": _sql(DEV, HALVES, select=f"""
+SELECT id, eventtime FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, early ORDER BY eventtime) AS in_half,
+         row_number() OVER (PARTITION BY id ORDER BY eventtime) AS rn,
+         count(*) FILTER (early) OVER (PARTITION BY id) AS n_early FROM halves)
+WHERE CASE WHEN n_early >= {LIMIT} THEN in_half = {LIMIT} ELSE rn = {LIMIT} END"""),
+        "late_rows_stream": _sql(DEV, HALVES, select=" UNION ALL ".join(
+            _late(*stage) for stage in (("persist", 2_000, 2_000), ("training", 15_000, 30_000), ("score", 2_000, 120_000)))),
         "score_stream": _sql(*_msg_scores(), select="SELECT * FROM scored WHERE distance > 3.0::DOUBLE"),
+        "score_distances_stream": _sql(*_msg_scores(), select="""
+SELECT id AS device_id, eventtime, distance::FLOAT AS distance FROM scored"""),
+        "anomaly_lines_stream": f"SELECT id, line FROM ({anomaly_log})",
+        "train_stream": _sql(MSG, *live_training, select="SELECT * FROM models"),
+        "training_rows_stream": _sql(MSG, *live_training, select=f"""
+SELECT id AS device_id, eventtime, value, rn // {CHUNK} AS chunk FROM latest"""),
     }

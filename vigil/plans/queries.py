@@ -28,7 +28,7 @@ from vigil.plans.inputs import (
     stream_events,
 )
 from vigil.session import ROCKSDB, new_folder
-from vigil.sources.sinks import keyed_sink
+from vigil.sources.sinks import keyed_sink, line_sink
 from vigil.streaming import jobs
 from vigil.streaming.counter import count_triggers
 
@@ -37,6 +37,7 @@ REPLAY = Settings(
     trigger_limit=20, cooldown_ms=3 * DAY_MS, history_limit=30, chunk_rows=10, slice_ms=DAY_MS
 )
 LOADED_AT = "2024-02-01 00:00:00"
+TRAINED_AT = 1_706_745_600_000
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -279,7 +280,7 @@ def score_events_asof(spark, sf_dir):
 @query
 def score_batches_2s(spark, sf_dir):
     scores = with_event_time(_scores(spark, sf_dir))
-    return _plain_times(windows.window_batches(scores, REPLAY.score_window))
+    return _plain_times(windows.score_batches(scores, REPLAY.score_window, REPLAY.threshold))
 
 
 @query
@@ -349,31 +350,150 @@ def persist_stream(spark, sf_dir):
     return store.readings.read(spark).select("device_id", "eventtime", "value")
 
 
-@query
-def counter_stream(spark, sf_dir):
-    """Devices that reach the trigger count within one pause of processing time."""
-    out = new_folder(spark, "counter")
-    events = as_device_events(stream_events(spark, sf_dir))
+def _steps(spark, sf_dir, name, *parts) -> tuple[str, Callable[[int], None], DataFrame]:
+    """A folder of its own, a function that drops the n-th part of the events into its inbox, and the stream
+    of that inbox. `parts` are conditions; together they hold for every event once."""
+    folder = new_folder(spark, name)
+    events = read_events(spark, sf_dir)
+    inbox = f"{folder}/inbox"
+
+    def drop(n: int) -> None:
+        events.filter(parts[n]).write.mode("append").parquet(inbox)
+
+    drop(0)
+    return folder, drop, spark.readStream.schema(events.schema).parquet(inbox)
+
+
+def _middle(spark, sf_dir) -> int:
+    """Half-way between the first and the last event."""
+    first, last = _events(spark, sf_dir).agg(F.min("eventtime"), F.max("eventtime")).first()
+    return (first + last) // 2
+
+
+def _fired(spark, events, folder, cooldown_ms):
     # A processing-time timer keeps a run-once query alive through no-data batches.
     with _conf(
         spark,
         spark__sql__streaming__stateStore__providerClass=ROCKSDB,
         spark__sql__streaming__noDataMicroBatches__enabled="false",
     ):
-        triggers = count_triggers(events, REPLAY.trigger_limit, REPLAY.cooldown_ms)
-        triggers.writeStream.format("parquet").option("path", f"{out}/rows").option(
-            "checkpointLocation", f"{out}/checkpoint"
+        triggers = count_triggers(events, REPLAY.trigger_limit, cooldown_ms)
+        triggers.writeStream.format("parquet").option("path", f"{folder}/rows").option(
+            "checkpointLocation", f"{folder}/checkpoint"
         ).trigger(availableNow=True).start().awaitTermination()
-    fired = spark.read.schema("id int, eventtime bigint").parquet(f"{out}/rows")
-    return fired.groupBy("id").agg(F.count("*").alias("n_triggers"))
+    return spark.read.schema("id int, eventtime bigint").parquet(f"{folder}/rows")
 
 
 @query
-def score_stream(spark, sf_dir):
+def counter_stream(spark, sf_dir):
+    """The event that completes each device's first count, all within one pause of processing time."""
+    events = as_device_events(stream_events(spark, sf_dir))
+    return _fired(spark, events, new_folder(spark, "counter"), REPLAY.cooldown_ms)
+
+
+@query
+def counter_restart_stream(spark, sf_dir):
+    """The table in two halves, with a pause that is over when the second arrives."""
+    middle = _middle(spark, sf_dir)
+    early = F.unix_millis(F.col("ts").cast("timestamp")) < middle
+    folder, drop, stream = _steps(spark, sf_dir, "counter", early, ~early)
+    _fired(spark, as_device_events(stream), folder, 1)
+    drop(1)
+    return _fired(spark, as_device_events(stream), folder, 1)
+
+
+@query
+def late_rows_stream(spark, sf_dir):
+    """Every seventh event of the first half comes with the second half: what the watermark has passed is
+    dropped, by the length and lateness of each stage's windows."""
+    middle = _middle(spark, sf_dir)
+    first = (F.unix_millis(F.col("ts").cast("timestamp")) < middle) & (F.col("event_id") % 7 != 0)
+    folder, drop, stream = _steps(spark, sf_dir, "late", first, ~first)
+    stages_ = {
+        "persist": (REPLAY.persist_window, REPLAY.persist_lateness),
+        "training": (REPLAY.training_window, REPLAY.training_lateness),
+        "score": (REPLAY.score_window, REPLAY.score_lateness),
+    }
+    events = with_event_time(as_device_events(stream))
+
+    def run():
+        for stage, (length, lateness) in stages_.items():
+            jobs.start_window_batches(
+                events, f"{folder}/{stage}", f"{folder}/{stage}-checkpoint", length, lateness, None
+            ).awaitTermination()
+
+    run()
+    drop(1)
+    run()
+    rows = [spark.read.parquet(f"{folder}/{s}").select(F.lit(s).alias("stage"), "*") for s in stages_]
+    return _plain_times(rows[0].unionByName(rows[1]).unionByName(rows[2]))
+
+
+def _scored_store(spark, sf_dir, sinks=()):
     root = new_folder(spark, "score")
     store = jobs.Store.under(root, replace(REPLAY, table_buckets=4))
     models = training.fit_models(to_readings(_decoded(spark, sf_dir)))
     keyed_sink(store.models, "trainer")(models, 0)
     messages = as_messages(stream_events(spark, sf_dir))
-    jobs.start_scoring(messages, store, f"{root}/checkpoint", REPLAY, once=True).awaitTermination()
-    return store.alerts.read(spark).select("id", "eventtime", "value", "base", "distance")
+    jobs.start_scoring(
+        messages, store, f"{root}/checkpoint", REPLAY, once=True, sinks=[make(store) for make in sinks]
+    ).awaitTermination()
+    return store
+
+
+@query
+def score_stream(spark, sf_dir):
+    return _scored_store(spark, sf_dir).alerts.read(spark).select("id", "eventtime", "value", "base", "distance")
+
+
+@query
+def score_distances_stream(spark, sf_dir):
+    """The distances that the scoring query leaves in the readings table."""
+    return _scored_store(spark, sf_dir).readings.read(spark).select("device_id", "eventtime", "distance")
+
+
+@query
+def anomaly_lines_stream(spark, sf_dir):
+    def sink(store):
+        return line_sink(store.lines, "anomalies", lambda rows: scoring.anomaly_lines(
+            with_event_time(rows), REPLAY.score_window, _loaded_at()))
+
+    return _scored_store(spark, sf_dir, [sink]).lines.read(spark)
+
+
+def _trained_store(spark, sf_dir):
+    root = new_folder(spark, "train")
+    store = jobs.Store.under(root, replace(REPLAY, table_buckets=4))
+    messages = as_messages(stream_events(spark, sf_dir))
+    jobs.start_persisting(messages, store, f"{root}/persist", REPLAY, once=True).awaitTermination()
+    with _conf(
+        spark,
+        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+        spark__sql__streaming__noDataMicroBatches__enabled="false",
+    ):
+        jobs.start_training(
+            messages, store, f"{root}/train", REPLAY, once=True, clock=lambda: TRAINED_AT
+        ).awaitTermination()
+    return store
+
+
+@query
+def train_stream(spark, sf_dir):
+    """The catalog after persisting the table and training every device that reaches the count."""
+    return _plain_models(_trained_store(spark, sf_dir).models.read(spark))
+
+
+@query
+def training_rows_stream(spark, sf_dir):
+    """The training table that live training loads."""
+    return _trained_store(spark, sf_dir).training.read(spark).select("device_id", "eventtime", "value", "chunk")
+
+
+@query
+def reject_stream(spark, sf_dir):
+    """Readings and rejects of a damaged stream add up: what cannot be stored is kept as it came."""
+    root = new_folder(spark, "rejects")
+    store = jobs.Store.under(root, replace(REPLAY, table_buckets=4))
+    messages = as_damaged_messages(stream_events(spark, sf_dir))
+    jobs.start_persisting(messages, store, f"{root}/checkpoint", REPLAY, once=True).awaitTermination()
+    return store.rejects.read(spark).select(F.col("data").cast("string").alias("data"))

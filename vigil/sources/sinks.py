@@ -1,16 +1,13 @@
-"""Sinks for one micro-batch: keyed upserts, appends, JDBC and log lines."""
+"""Sinks for one micro-batch: keyed upserts, appends, JDBC and lines."""
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from vigil.sources.tables import BatchLog, KeyedTable
 
-log = logging.getLogger("vigil")
-
 Projection = Callable[[DataFrame], DataFrame]
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -44,12 +41,11 @@ def jdbc_alert_sink(url: str, table: str, known: Callable[[], DataFrame], **opti
     return write
 
 
-def line_sink(projection: Projection | None = None, shown: int = 20) -> BatchSink:
-    """Show the first lines of a batch in the driver's log; the tables hold all of them."""
+def line_sink(lines: BatchLog, writer: str, projection: Projection) -> BatchSink:
+    """Append the lines that `projection` makes to a table of (id, line): all of them, by the tasks that hold
+    the rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        lines = projection(batch) if projection else batch
-        for row in lines.select("line").limit(shown).collect():
-            log.info("%s", row["line"])
+        lines.append(projection(batch).select("id", "line"), writer, batch_id)
 
     return write

@@ -64,15 +64,19 @@ class KeyedTable(BatchLog):
     keys: tuple[str, ...]
     buckets: int = 16
     first_wins: bool = False
+    #: The column that says which of two rows of a key is the later; else a later batch, and in it the greater row.
+    order: str | None = None
 
     def append(self, rows: DataFrame, writer: str, batch_id: int) -> None:
         columns = [c for c in self.schema.names if c in rows.columns]
         values = [c for c in columns if c not in self.keys]
         # One row per key and batch, so that the batch number settles every later comparison.
+        best = F.min if self.first_wins else F.max
         if len(values) == 1:
-            single = rows.groupBy(*self.keys).agg(F.max(values[0]).alias(values[0]))
+            single = rows.groupBy(*self.keys).agg(best(values[0]).alias(values[0]))
         else:
-            single = rows.groupBy(*self.keys).agg(F.max(F.struct(*values)).alias("_v")).select(*self.keys, "_v.*")
+            values.sort(key=lambda c: c != self.order)
+            single = rows.groupBy(*self.keys).agg(best(F.struct(*values)).alias("_v")).select(*self.keys, "_v.*")
         typed = single.select(*[F.col(f.name).cast(f.dataType) for f in self.schema if f.name in columns])
         # Rebalancing lets adaptive execution split a hot bucket and join small ones.
         placed = typed.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
@@ -103,6 +107,7 @@ class KeyedTable(BatchLog):
         return [T.StructField("bucket", T.IntegerType())]
 
     def _merged(self, log: DataFrame) -> DataFrame:
-        order = -F.col("batch_id") if self.first_wins else F.col("batch_id")
-        writes = log.select(*self.schema.names, order.alias("batch_id"))
-        return merge_log(writes, list(self.keys), "batch_id").select(*self.schema.names)
+        batch = F.col("batch_id")
+        order = F.struct(self.order, batch) if self.order else batch
+        writes = log.select(*self.schema.names, order.alias("_order"))
+        return merge_log(writes, list(self.keys), "_order", self.first_wins).select(*self.schema.names)

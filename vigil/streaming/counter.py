@@ -1,18 +1,25 @@
-"""The trigger counter on a live stream: counts arrivals, pauses in processing time."""
+"""The trigger counter on a live stream: counts arrivals, pauses in processing time.
+
+Within a micro-batch the events of a device are taken in event-time order, so that the event which
+completes a count does not depend on how Spark deals out the rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-PAUSED = -1
-
 
 class EventCounter(StatefulProcessor):
-    """Per device one number: events seen since the last restart, or PAUSED until the timer fires."""
+    """Per device two numbers: events seen since the last restart, and when its pause ends (0: none).
+
+    A device fires at most once per micro-batch: what follows in the same batch lies within the pause. A
+    pause that is over counts as none at once; the timer only forgets devices that stay silent.
+    """
 
     def __init__(self, limit: int, cooldown_ms: int):
         self.limit = limit
@@ -20,50 +27,46 @@ class EventCounter(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("event_count", "n BIGINT")
+        self.state = handle.getValueState("count", "seen BIGINT, pause_end BIGINT")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen = self.seen.get()[0] if self.seen.exists() else 0
-        for batch in rows:
-            if seen == PAUSED:
-                continue
-            missing = self.limit - seen
-            if len(batch) < missing:
-                seen += len(batch)
-                continue
-            seen = PAUSED
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.cooldown_ms)
-            yield batch.iloc[missing - 1 : missing]
-        self.seen.update((seen,))
+        now = timerValues.getCurrentProcessingTimeInMs()
+        seen, pause_end = self.state.get() if self.state.exists() else (0, 0)
+        if 0 < pause_end <= now:
+            seen, pause_end = 0, 0
+        times = [np.asarray(t, np.int64) for batch in rows for t in batch["times"]]
+        if pause_end == 0:
+            arrived = sum(map(len, times))
+            if seen + arrived >= self.limit:
+                at = np.sort(np.concatenate(times))[self.limit - seen - 1]
+                seen, pause_end = 0, now + self.cooldown_ms
+                self.handle.registerTimer(pause_end)
+                yield pd.DataFrame({"id": [key[0]], "eventtime": [at]})
+            else:
+                seen += arrived
+        self.state.update((seen, pause_end))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
+        # Rows of the same batch come first and may have begun a newer count or pause.
+        if self.state.exists() and 0 < self.state.get()[1] <= timerValues.getCurrentProcessingTimeInMs():
+            self.state.clear()
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def _first_events(limit: int):
-    """Keep each device's first `limit` events of every Arrow batch, before the shuffle.
-
-    A device fires at most once per micro-batch, for its timer is looked at between batches, and no
-    firing needs more than `limit` events. Below the limit nothing is dropped, so counts stay exact,
-    and the event that completes a count is among the first `limit` of its Arrow batch. A device
-    with a large part of the stream thus sends a few rows per ten thousand.
-    """
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.groupby("id", sort=False).head(limit)
-
-    return keep
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per device and Arrow batch with all its times, so that a busy device shuffles few rows."""
+    for batch in batches:
+        times = batch.groupby("id", sort=False)["eventtime"].agg(list)
+        yield pd.DataFrame({"id": times.index.astype("int32"), "times": times.to_numpy()})
 
 
 def count_triggers(events: DataFrame, limit: int, cooldown_ms: int) -> DataFrame:
     """(id, eventtime) of every trigger; only these two columns reach Python."""
-    needed = events.select("id", "eventtime").mapInPandas(_first_events(limit), "id int, eventtime bigint")
-    return needed.groupBy("id").transformWithStateInPandas(
+    packed = events.select("id", "eventtime").mapInPandas(_packed, "id int, times array<bigint>")
+    return packed.groupBy("id").transformWithStateInPandas(
         statefulProcessor=EventCounter(limit, cooldown_ms),
         outputStructType="id int, eventtime bigint",
         outputMode="append",

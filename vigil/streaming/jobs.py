@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.config import Settings
-from vigil.functions.codec import decode_messages, to_distances, to_readings, with_event_time
+from vigil.functions.codec import decode_messages, rejected_messages, to_distances, to_readings, with_event_time
 from vigil.operators.scoring import anomalies, score_with, scoring_table
 from vigil.operators.training import fit_models, latest_history
 from vigil.operators.windows import window_batches
-from vigil.schemas import ALERT_RECORD, LOADED_ROW, MODEL, READING
+from vigil.schemas import ALERT_RECORD, LINE, LOADED_ROW, MODEL, READING, REJECT, TRIGGER
 from vigil.session import new_folder
 from vigil.sources.sinks import BatchSink, keyed_sink
 from vigil.sources.tables import BatchLog, KeyedTable
@@ -38,6 +38,9 @@ class Store:
     training: BatchLog
     models: KeyedTable
     alerts: KeyedTable
+    triggers: BatchLog
+    rejects: BatchLog
+    lines: BatchLog
 
     @staticmethod
     def under(root: str, settings: Settings) -> Store:
@@ -45,8 +48,11 @@ class Store:
         return Store(
             KeyedTable(f"{root}/readings", READING, ("device_id", "eventtime"), buckets),
             BatchLog(f"{root}/training", LOADED_ROW),
-            KeyedTable(f"{root}/models", MODEL, ("id",), 1),
-            KeyedTable(f"{root}/alerts", ALERT_RECORD, ("id", "eventtime"), buckets, first_wins=True),
+            KeyedTable(f"{root}/models", MODEL, ("id",), 1, order="trained_at"),
+            KeyedTable(f"{root}/alerts", ALERT_RECORD, ("id", "eventtime"), buckets, first_wins=True, order="notified_at"),
+            BatchLog(f"{root}/triggers", TRIGGER),
+            BatchLog(f"{root}/rejects", REJECT),
+            BatchLog(f"{root}/lines", LINE),
         )
 
 
@@ -81,15 +87,23 @@ def _start(stream: DataFrame, handle, checkpoint: str, every: str | None) -> Str
 def start_persisting(
     messages: DataFrame, store: Store, checkpoint: str, settings: Settings, once: bool = False
 ) -> StreamingQuery:
+    """Store the readings of every micro-batch, and what cannot be stored as rejects."""
     write = keyed_sink(store.readings, "values", to_readings)
-    return _start(decode_messages(messages), write, checkpoint, None if once else settings.persist_trigger)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write(decode_messages(batch), batch_id)
+        store.rejects.append(rejected_messages(batch), "decoder", batch_id)
+
+    return _start(messages, handle, checkpoint, None if once else settings.persist_trigger)
 
 
 def train_batch(
     triggers: DataFrame, batch_id: int, store: Store, settings: Settings, clock: Callable[[], int] = now_ms,
-    sinks: Sequence[BatchSink] = (),
+    sinks: Sequence[BatchSink] = (), taps: Sequence[BatchSink] = (),
 ) -> None:
-    """Collect, load, wait and train for the devices of one batch of triggers; `sinks` get the new models."""
+    """Collect, load, wait and train for the devices of one batch of triggers.
+
+    `taps` get the triggers whose readings were collected, `sinks` the new models."""
     spark = triggers.sparkSession
     collected = triggers.groupBy(F.col("id").alias("device_id")).agg(F.max("eventtime").alias("_at")).persist()
     try:
@@ -102,6 +116,8 @@ def train_batch(
             F.current_timestamp().alias("loaded_at"), "chunk",
         )
         store.training.append(rows, "loads", batch_id)
+        for tap in taps:
+            tap(triggers, batch_id)
         # The write above is complete before the next statement reads it back: the barrier.
         loaded = store.training.read_batch(spark, "loads", batch_id)
         dated = loaded.withColumn("trained_at", F.lit(clock()).cast("bigint"))
@@ -114,12 +130,19 @@ def train_batch(
 
 def start_training(
     messages: DataFrame, store: Store, checkpoint: str, settings: Settings, once: bool = False,
-    sinks: Sequence[BatchSink] = (),
+    clock: Callable[[], int] = now_ms, sinks: Sequence[BatchSink] = (), taps: Sequence[BatchSink] = (),
 ) -> StreamingQuery:
+    """Count events and train at every trigger.
+
+    A stateful stream runs its batches without adaptive execution. So the few triggers are written, and
+    the work on the tables is done by the session that started the query, where it is on."""
     triggers = count_triggers(decode_messages(messages), settings.trigger_limit, settings.cooldown_ms)
+    spark = messages.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        train_batch(batch, batch_id, store, settings, sinks=sinks)
+        store.triggers.append(batch, "counter", batch_id)
+        fired = store.triggers.read_batch(spark, "counter", batch_id)
+        train_batch(fired, batch_id, store, settings, clock, sinks, taps)
 
     return _start(triggers, handle, checkpoint, None if once else settings.training_trigger)
 
