@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.llm.license_templates import TEMPLATES
 
-_WORD = r"[^\p{L}\p{N}]+"
+_BETWEEN = r"[^\p{L}\p{N}]+"
 
 
 def template_bigrams(text: str) -> list[str]:
@@ -60,12 +60,14 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshol
     A null or empty text has no row. Repeated rows have their rows each. Other columns are not read.
     """
     smallest = min(bounds(len(template_bigrams(t)), threshold)[0] for _, t in templates)
-    words = F.filter(F.split(F.lower("body"), _WORD), lambda w: w != "")
-    n = F.size("words")
-    sized = units(docs).withColumn("words", words).where(n > smallest)
-    bigrams = F.array_distinct(F.zip_with(
-        F.slice("words", F.lit(1), n - 1), F.slice("words", F.lit(2), n - 1), lambda a, b: F.concat(a, F.lit(" "), b)))
-    known = sized.select("doc_id", "unit", "unit_no", bigrams.alias("bigrams"))
+    # Generators keep a text's words and bigrams in one place; as plain columns they would be made anew for
+    # every expression that reads them.
+    normal = F.trim(F.regexp_replace(F.lower("body"), _BETWEEN, " "))
+    spaces = F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit("")))
+    sized = units(docs).select("doc_id", "unit", "unit_no", F.explode(F.array(normal)).alias("words")).where(
+        spaces >= smallest)
+    bigrams = F.array_distinct(F.regexp_extract_all("words", F.lit(r"(?<!\S)(?=(\S+ \S+))"), F.lit(1)))
+    known = sized.select("doc_id", "unit", "unit_no", F.explode(F.array(bigrams)).alias("bigrams"))
     fitting = F.filter(_templates(templates, threshold), lambda t: F.size("bigrams").between(t["least"], t["most"]))
     scored = F.transform(fitting, lambda t: F.struct(
         (F.size(F.array_intersect("bigrams", t["bigrams"])) * 2 / (F.size("bigrams") + F.size(t["bigrams"])))
