@@ -259,7 +259,7 @@ def test_append_and_line_sinks(spark, root, live):
     assert store.lines.read(spark).count() == 100
 
 
-def test_three_live_queries_meet_in_the_tables(spark, root, live):
+def test_live_queries_meet_in_the_tables(spark, root, live):
     from dataclasses import replace
 
     from vigil.plans.live import start_all

@@ -74,6 +74,14 @@ def to_readings(events: DataFrame) -> DataFrame:
     )
 
 
+def to_scored_readings(scores: DataFrame) -> DataFrame:
+    """Both writes in one row: (device_id, eventtime, whole value, distance)."""
+    return scores.select(
+        F.col("id").alias("device_id"), "eventtime", whole(F.col("value")).cast("int").alias("value"),
+        F.col("distance").cast("float").alias("distance"),
+    )
+
+
 def to_distances(scores: DataFrame) -> DataFrame:
     """The distance write: (device_id, eventtime, distance)."""
     return scores.select(

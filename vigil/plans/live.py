@@ -18,7 +18,7 @@ from vigil.streaming import jobs
 
 
 def start_all(spark: SparkSession, settings: Settings, root: str) -> list[StreamingQuery]:
-    """Persist, train and score as three queries over one message source and one store.
+    """Ingest and train as two queries over one message source and one store.
 
     Collections, new models and anomalies each leave a line in the store's line table.
     """
@@ -31,10 +31,9 @@ def start_all(spark: SparkSession, settings: Settings, root: str) -> list[Stream
     found = line_sink(
         store.lines, "anomalies", lambda rows: anomaly_lines(with_event_time(rows), settings.score_window))
     return [
-        jobs.start_persisting(messages, store, f"{root}/checkpoints/persist", settings),
+        jobs.start_ingesting(messages, store, f"{root}/checkpoints/ingest", settings, sinks=[found]),
         jobs.start_training(
             messages, store, f"{root}/checkpoints/train", settings, sinks=[trained, saved], taps=[collected]),
-        jobs.start_scoring(messages, store, f"{root}/checkpoints/score", settings, sinks=[found]),
     ]
 
 

@@ -241,6 +241,8 @@ WHERE CASE WHEN n_early >= {LIMIT} THEN in_half = {LIMIT} ELSE rn = {LIMIT} END"
         "score_stream": _sql(*_msg_scores(), select="SELECT * FROM scored WHERE distance > 3.0::DOUBLE"),
         "score_distances_stream": _sql(*_msg_scores(), select="""
 SELECT id AS device_id, eventtime, distance::FLOAT AS distance FROM scored"""),
+        "ingest_stream": _sql(*_msg_scores(), select="""
+SELECT id AS device_id, eventtime, trunc(value)::INT AS value, distance::FLOAT AS distance FROM scored"""),
         "anomaly_lines_stream": f"SELECT id, line FROM ({anomaly_log})",
         "train_stream": _sql(MSG, *live_training, select="SELECT * FROM models"),
         "training_rows_stream": _sql(MSG, *live_training, select=f"""

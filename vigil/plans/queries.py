@@ -429,13 +429,13 @@ def late_rows_stream(spark, sf_dir):
     return _plain_times(rows[0].unionByName(rows[1]).unionByName(rows[2]))
 
 
-def _scored_store(spark, sf_dir, sinks=()):
+def _scored_store(spark, sf_dir, sinks=(), start=jobs.start_scoring):
     root = new_folder(spark, "score")
     store = jobs.Store.under(root, replace(REPLAY, table_buckets=4))
     models = training.fit_models(to_readings(_decoded(spark, sf_dir)))
     keyed_sink(store.models, "trainer")(models, 0)
     messages = as_messages(stream_events(spark, sf_dir))
-    jobs.start_scoring(
+    start(
         messages, store, f"{root}/checkpoint", REPLAY, once=True, sinks=[make(store) for make in sinks]
     ).awaitTermination()
     return store
@@ -452,6 +452,12 @@ def score_distances_stream(spark, sf_dir):
     return _scored_store(spark, sf_dir).readings.read(spark).select("device_id", "eventtime", "distance")
 
 
+@query
+def ingest_stream(spark, sf_dir):
+    """Values and distances written together, from one decode."""
+    return _scored_store(spark, sf_dir, start=jobs.start_ingesting).readings.read(spark)
+
+
 @query
 def anomaly_lines_stream(spark, sf_dir):
     def sink(store):

@@ -1,7 +1,7 @@
-"""The three live queries: persist readings, train on triggers, score and alert.
+"""The live queries: ingest (persist, score and alert) and train on triggers.
 
 They meet only in tables: what one persists, the next reads, so each restarts from its own
-checkpoint.
+checkpoint. Persisting and scoring also exist as queries of their own.
 """
 
 from __future__ import annotations
@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.config import Settings
-from vigil.functions.codec import decode_messages, rejected_messages, to_distances, to_readings, with_event_time
+from vigil.functions.codec import (
+    decode_messages,
+    rejected_messages,
+    to_distances,
+    to_readings,
+    to_scored_readings,
+    with_event_time,
+)
 from vigil.operators.scoring import anomalies, score_with, scoring_table
 from vigil.operators.training import fit_models, latest_history
 from vigil.operators.windows import window_batches
@@ -152,9 +159,13 @@ def score_batch(
     sinks: Sequence[BatchSink] = (),
 ) -> None:
     """Score one batch, store the distances, and record what is beyond the threshold; `sinks` get that too."""
+    _store_scores(events, batch_id, store, settings, snapshot, to_distances, "distances", sinks)
+
+
+def _store_scores(events, batch_id, store, settings, snapshot, projection, writer, sinks) -> None:
     scores = score_with(events, snapshot).persist()
     try:
-        store.readings.append(to_distances(scores), "distances", batch_id)
+        store.readings.append(projection(scores), writer, batch_id)
         found = anomalies(scores, settings.threshold)
         records = found.select(
             "id", "eventtime", F.current_timestamp().alias("notified_at"), "value", "base", "distance"
@@ -178,6 +189,22 @@ def start_scoring(
     return _start(decode_messages(messages), handle, checkpoint, None if once else settings.persist_trigger)
 
 
+def start_ingesting(
+    messages: DataFrame, store: Store, checkpoint: str, settings: Settings, once: bool = False,
+    clock: Callable[[], int] = now_ms, sinks: Sequence[BatchSink] = (),
+) -> StreamingQuery:
+    """`start_persisting` and `start_scoring` as one query: each message is decoded once, and each batch
+    writes one row per reading with value and distance."""
+    catalog = CatalogSnapshot(store.models, settings.refresh_ms, clock)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        snapshot = catalog.current(batch.sparkSession)
+        _store_scores(decode_messages(batch), batch_id, store, settings, snapshot, to_scored_readings, "readings", sinks)
+        store.rejects.append(rejected_messages(batch), "decoder", batch_id)
+
+    return _start(messages, handle, checkpoint, None if once else settings.persist_trigger)
+
+
 def timed(messages: DataFrame) -> DataFrame:
     """Decoded events with event time, ready for windows."""
     return with_event_time(decode_messages(messages))
