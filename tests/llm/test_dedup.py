@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import cases
 import numpy as np
@@ -239,6 +240,60 @@ def test_lines_of_the_table(spark):
     assert len(got & expected) >= 0.995 * len(expected)  # banding may miss a pair near the threshold
 
 
+def plain_character_lines(pairs, percent, size=8):
+    """As plain_lines, but by the shingles of every character. Sets that are similar enough share one of the
+    shingles that stay when the common rest that they need is taken away from either, in one order of all."""
+    rows = [(d, n, line) for d, text in pairs for n, line in enumerate(text.split("\n")) if line.strip(" \t\r\x0b\x0c")]
+    sets = {line: {line[i : i + size] for i in range(max(len(line) - size, 0) + 1)} for _, _, line in rows}
+    groups = cases.Groups()
+    often = Counter(s for shingles in sets.values() for s in shingles)
+    holding = {}
+    for a in sorted(sets):
+        ranked = sorted(sets[a], key=lambda s: (often[s], s))
+        first = ranked[: len(ranked) - -(-percent * len(ranked) // 100) + 1]
+        for b in {b for s in first for b in holding.get(s, ())}:
+            if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                groups.join(a, b)
+        for s in first:
+            holding.setdefault(s, []).append(a)
+    members = {}
+    for doc_id, n, line in rows:
+        members.setdefault(groups.find(line), []).append((doc_id, n))
+    keep = {root: min(group, key=lambda m: (*last(m[0]), m[1])) for root, group in members.items()}
+    out = [(d, n, *keep[r], len(members[r]), (d, n) == keep[r])
+           for d, n, line in rows for r in [groups.find(line)]]
+    return sorted(out, key=str)
+
+
+def test_lines_without_spaces_are_compared_whole(spark):
+    address = "https://example.org/a/long/path/to/some/page/of/this/site/index"
+    chinese = "今天天气很好我们一起去公园散步然后回家吃饭再看一会儿书最后早点休息准备明天的工作和学习任务"
+    lines = [address + ".html", address + ".htm", "https://b.net/22", "https://a.org/1", "- https://a.org/1",
+             "- https://b.net/22", "Andththwhes.", "Andththwhwh.", chinese, "都" + chinese, chinese[:8] + "但是别的都不一样",
+             "\U0001f600" * 9 + address, "\U0001f600" * 9 + address + "s", "\U0001f600\U0001f601 ab", "short", "shor", " short"]
+    pairs = [(100 + i, line) for i, line in enumerate(lines)] + cases.pairs()
+    docs = spark.createDataFrame(pairs, "doc_id bigint, text string")
+    got = line_rows(line_dedup.fuzzy_lines(docs, bands=16, rows=2))
+    assert got == plain_character_lines(pairs, 85)
+    kept = {r[0]: r[2] for r in got if r[1] == 0}
+    assert [kept[100 + i] - 100 for i in range(11)] == [0, 0, 2, 3, 4, 5, 6, 7, 8, 8, 10]
+
+
+def test_lines_of_the_table_by_characters(spark):
+    pairs = [(r.doc_id, r.text or "") for r in documents(spark).collect()]
+    got = set(line_rows(line_dedup.fuzzy_lines(documents(spark))))
+    expected = set(plain_character_lines(pairs, 85))
+    assert len(got) == len(expected)
+    assert len(got & expected) >= 0.995 * len(expected)  # banding may miss a pair near the threshold
+
+
+def test_shingles_are_of_code_points(spark):
+    text = "ab\U0001f600cd\U0001f601\n efghij"
+    frame = spark.createDataFrame([(text,), ("\U0001f600b",), ("12345678",)], "line string")
+    got = [r[0] for r in frame.select(line_dedup.shingles(F.col("line"), 8)).collect()]
+    assert got == [[text[i : i + 8] for i in range(len(text) - 7)], ["\U0001f600b"], ["12345678"]]
+
+
 def test_without_repeated_lines(spark):
     docs = spark.createDataFrame([(1, "One line here.\n\nTwo.", "a"), (2, "Two.\nNew words.", None), (3, None, "c")],
                                  "doc_id bigint, text string, line_no string")

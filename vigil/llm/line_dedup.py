@@ -1,10 +1,10 @@
 """Fuzzy line deduplication by MinHash, in DataFrame functions only.
 
-A line's character shingles are the `size` characters from the start of each of its words, running over word
-ends. Its signature holds `bands` * `rows` MinHash values; lines that agree in a whole band share a bucket.
+A line's character shingles are the `size` characters from each of its characters on, or the whole line where
+it is shorter. Its signature holds `bands` * `rows` MinHash values; lines that agree in a whole band share a bucket.
 Every class of a bucket is compared with the bucket's lead first, by the exact Jaccard similarity of their
-shingle sets. Only where a bucket then still holds lines of different components, those outside its largest
-one are compared with the others. Links are joined to components by distributed union-find, and of each
+shingle sets. Only where the other classes of a bucket are then still in different components, those outside
+the largest one are compared with the others. Links are joined to components by distributed union-find, and of each
 component the first line stays.
 
 Lines are told apart by their 64-bit hash, as shingles are.
@@ -28,8 +28,14 @@ def numbered_lines(docs: DataFrame) -> DataFrame:
 
 
 def shingles(line: Column, size: int) -> Column:
-    """The character shingles of a line, one for each of its words."""
-    return F.regexp_extract_all(line, F.lit(rf"(?s)(?<!\S)(?=(\S.{{0,{size - 1}}}))"), F.lit(1))
+    """The character shingles of a line, one from each character on that has `size` - 1 others behind it."""
+    # The first condition keeps a match from starting inside a surrogate pair.
+    return F.regexp_extract_all(
+        line, F.lit(rf"(?s)(?!\p{{Cs}})(?=(.{{{size}}}|\A.{{0,{size - 1}}}\z))"), F.lit(1))
+
+
+def hashes(line: Column, size: int) -> Column:
+    return F.transform(shingles(line, size), lambda s: F.xxhash64(s))
 
 
 def band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
@@ -46,40 +52,45 @@ def band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     return materialize(signed.select("node", F.array(*keys).alias("keys")), "band-keys")
 
 
-def jaccard_at_least(a: str, b: str, percent: int) -> Column:
-    """Whether two sets of distinct values reach the similarity; sizes are compared first."""
-    n, m = F.size(a), F.size(b)
-    common = F.size(F.array_intersect(a, b))
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (common * 100 >= (n + m - common) * percent)
+def jaccard_at_least(a: Column, b: Column, n: str, m: str, percent: int) -> Column:
+    """Whether two sets of `n` and `m` distinct values reach the similarity; sizes are compared first."""
+    n, m = F.col(n), F.col(m)
+    # intersection * 100 >= union * percent, with the intersection, and so each set, written once only
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (
+        F.size(F.array_intersect(a, b)) * (100 + percent) >= (n + m) * percent)
 
 
-def star_pairs(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def star_pairs(shared: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v): links of the classes of a bucket to its lead."""
     pairs = materialize(shared.where("node <> lead").select("node", "lead").distinct(), "star-pairs")
-    own = sets.select("node", F.col("shingles").alias("own"))
-    led = sets.select(F.col("node").alias("lead"), F.col("shingles").alias("led"))
-    return pairs.join(own, "node").join(led, "lead").where(jaccard_at_least("own", "led", percent)).select(
+    own = texts.toDF("node", "own", "own_n")
+    led = texts.toDF("lead", "led", "led_n")
+    return pairs.join(own, "node").join(led, "lead").where(jaccard_at_least(
+        hashes(F.col("own"), size), hashes(F.col("led"), size), "own_n", "led_n", percent)).select(
         F.col("node").alias("u"), F.col("lead").alias("v"))
 
 
-def cross_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def cross_pairs(shared: DataFrame, roots: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v): components of the stars that a link between two classes of one bucket joins, by their roots.
 
-    Links of a class to many of another component are one row, before they are shuffled."""
-    placed = materialize(shared.join(roots, "node", "left").select(
+    Leads are left out, as the stars compare them with every class of their bucket. Links of a class to many
+    of another component are one row, before they are shuffled."""
+    placed = materialize(shared.where("node <> lead").join(roots, "node", "left").select(
         "bucket", "node", F.coalesce("root", "node").alias("root")), "placed-lines")
     major = materialize(
         placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
         .groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("major"), F.count("*").alias("roots"))
         .where("roots > 1").select("bucket", "major"), "mixed-buckets")
-    mixed = materialize(placed.join(major, "bucket").join(sets, "node"), "mixed-lines")
+    mixed = materialize(placed.join(major, "bucket").join(texts, "node").select(
+        "bucket", "node", "root", "major", "n", hashes(F.col("line"), size).alias("shingles")), "mixed-lines")
     left = mixed.where("root <> major").select(
-        "bucket", F.col("node").alias("u"), F.col("root").alias("u_root"), F.col("shingles").alias("u_shingles"))
+        "bucket", F.col("node").alias("u"), F.col("root").alias("u_root"), F.col("n").alias("u_n"),
+        F.col("shingles").alias("u_shingles"))
     right = mixed.select("bucket", "major", F.col("node").alias("v"), F.col("root").alias("v_root"),
-                         F.col("shingles").alias("v_shingles"))
+                         F.col("n").alias("v_n"), F.col("shingles").alias("v_shingles"))
     once = (F.col("v_root") == F.col("major")) | (F.col("u") < F.col("v"))
     return left.join(right, (left["bucket"] == right["bucket"]) & (F.col("u_root") != F.col("v_root")) & once
-                     & jaccard_at_least("u_shingles", "v_shingles", percent)).select(
+                     & jaccard_at_least(F.col("u_shingles"), F.col("v_shingles"), "u_n", "v_n", percent)).select(
         F.greatest("u_root", "v_root").alias("u"), F.least("u_root", "v_root").alias("v")).distinct()
 
 
@@ -103,12 +114,11 @@ def fuzzy_lines(docs: DataFrame, percent: int = 85, size: int = 8, bands: int =
         .where("n > 1").select("bucket", "lead"), "line-leads")
     shared = materialize(entries.join(leads, "bucket"), "shared-lines")
     wanted = materialize(shared.select("node").distinct(), "compared-lines")
-    sets = materialize(
+    texts = materialize(
         lines.select("node", "line").join(wanted, "node").groupBy("node").agg(F.max("line").alias("line"))
-        .select("node", F.array_distinct(F.transform(shingles(F.col("line"), size), lambda s: F.xxhash64(s))).alias("shingles")),
-        "line-shingles")
-    stars = materialize(star_pairs(shared, sets, percent), "star-links")
-    crossing = cross_pairs(shared, components(stars), sets, percent)
+        .select("node", "line", F.size(F.array_distinct(hashes(F.col("line"), size))).alias("n")), "compared-texts")
+    stars = materialize(star_pairs(shared, texts, size, percent), "star-links")
+    crossing = cross_pairs(shared, components(stars), texts, size, percent)
     roots = components(stars.unionByName(crossing))
     grouped = materialize(occurrences.join(roots, "node", "left").select(
         "doc_id", "line_no", F.coalesce("root", "node").alias("root")), "line-groups")
