@@ -193,6 +193,25 @@ def test_license_scan(spark):
     assert license_scan.scan(cases.empty(spark)).count() == 0
 
 
+MIT_REST = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED
+TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS
+OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_whole_licences_are_found(spark):
+    mit = "Copyright (c) 2024 Jane Doe\n" + TEMPLATES[12][1] + "\n" + MIT_REST
+    comment = "/*\n" + "\n".join(" * " + line for line in mit.split("\n")) + "\n */"
+    held = TEMPLATES[15:]
+    pairs = [(0, comment)] + [(i + 1, "Jane Doe, 2024\n" + t) for i, (_, t) in enumerate(held)]
+    docs = spark.createDataFrame(pairs, "doc_id bigint, text string")
+    got = license_scan.scan(docs).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain_scan(pairs)
+    names = {r.doc_id: r.license_id for r in got if r.unit == "block"}
+    assert names == {0: "MIT"} | {i + 1: name for i, (name, _) in enumerate(held)}
+    assert {"BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "LGPL-2.1", "AGPL-3.0", "EPL-2.0", "Zlib"} <= set(names.values())
+
+
 def test_size_bounds_leave_no_match_out():
     for size in range(1, 60):
         least, most = license_scan.bounds(size, 0.8)
