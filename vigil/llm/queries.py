@@ -14,8 +14,12 @@ from vigil.llm.near_dedup import near_duplicates
 from vigil.llm.packing import pack_documents
 from vigil.llm.simhash import document_fingerprints, with_near_counts
 from vigil.llm.token_blocks import token_file_digests
+from vigil.llm.url_filter import judge_urls
 from vigil.llm.warc import page_archive_digests
 
+#: The rules that pages are judged by.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -64,6 +68,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_near_counts(document_fingerprints(_table(spark, sf_dir, "documents")))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -75,6 +84,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op13_url_filter": op13_url_filter,
 }
 
 #: The others are beyond SQL: tests hold them against the libraries, exact round trips,
@@ -91,4 +101,19 @@ ranked AS (
          count(*) OVER (PARTITION BY text_sha256) AS group_size
   FROM bare)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked""",
+    "op13_url_filter": f"""
+WITH rests AS (
+  SELECT row_number() OVER () AS n, page_id,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests),
+rules(rule, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+fitting AS (
+  SELECT page_id, host, path, rule, verdict, row_number() OVER (PARTITION BY n ORDER BY length(rule) DESC) AS place
+  FROM parts LEFT JOIN rules ON ends_with('.' || host, '.' || split_part(rule, '/', 1))
+    AND starts_with(path, substr(rule, strpos(rule, '/'))))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE place = 1""",
 }
