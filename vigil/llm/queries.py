@@ -16,6 +16,7 @@ from vigil.llm.simhash import document_fingerprints, with_near_counts
 from vigil.llm.token_blocks import token_file_digests
 from vigil.llm.url_filter import judge_urls
 from vigil.llm.warc import page_archive_digests
+from vigil.llm.whitening import whiten
 
 #: The rules that pages are judged by.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -68,6 +69,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_near_counts(document_fingerprints(_table(spark, sf_dir, "documents")))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
     return judge_urls(_table(spark, sf_dir, "pages"), rules)
@@ -84,6 +89,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op12_whitening": op12_whitening,
     "op13_url_filter": op13_url_filter,
 }
 
