@@ -10,6 +10,7 @@ from vigil.llm.exact_dedup import exact_duplicates
 from vigil.llm.language import predict_documents
 from vigil.llm.license_scan import scan, scan_sql
 from vigil.llm.line_dedup import fuzzy_lines
+from vigil.llm.merkle import manifest, manifest_sql
 from vigil.llm.near_dedup import near_duplicates
 from vigil.llm.packing import pack_documents
 from vigil.llm.simhash import document_fingerprints, with_near_counts
@@ -69,6 +70,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_near_counts(document_fingerprints(_table(spark, sf_dir, "documents")))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(_table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_line_dedup": op9_line_dedup,
     "op10_simhash": op10_simhash,
+    "op11_merkle": op11_merkle,
     "op12_whitening": op12_whitening,
     "op13_url_filter": op13_url_filter,
 }
@@ -107,6 +113,7 @@ ranked AS (
          count(*) OVER (PARTITION BY text_sha256) AS group_size
   FROM bare)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked""",
+    "op11_merkle": manifest_sql(),
     "op13_url_filter": f"""
 WITH rests AS (
   SELECT row_number() OVER () AS n, page_id,
