@@ -7,6 +7,13 @@ from dataclasses import dataclass, field, fields
 MINUTE_MS = 60_000
 HOUR_MS = 60 * MINUTE_MS
 DAY_MS = 24 * HOUR_MS
+UNITS_MS = {"millisecond": 1, "second": 1000, "minute": MINUTE_MS, "hour": HOUR_MS, "day": DAY_MS}
+
+
+def duration_ms(text: str) -> int:
+    """Milliseconds of a time such as `2 seconds`."""
+    number, unit = text.split()
+    return int(number) * UNITS_MS[unit.removesuffix("s")]
 
 
 @dataclass(frozen=True)
@@ -41,11 +48,17 @@ class Settings:
     persist_trigger: str = "1 second"
     training_trigger: str = "20 seconds"
 
+    # Processing time from a window's first row to its firing: early and late panes, and the training pane.
+    pane_delay: str = "1 second"
+    training_delay: str = "20 seconds"
+
     # Physical layout. Work ordered within a device is split into time slices: readings are
     # keyed by (device, millisecond), so one slice holds at most `slice_ms` rows of a device.
     slice_ms: int = HOUR_MS
     salts: int = 32
     table_buckets: int = 16
+    # Folders of a live table are folded every so many micro-batches.
+    fold_batches: int = 100
 
     def __post_init__(self):
         for f in fields(self):

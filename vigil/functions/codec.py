@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.numeric import derived_value, event_timestamp, whole
@@ -20,29 +22,55 @@ def _value():
     return derived_value(F.col("m.source.base"), F.col("m.variation"), F.col("m.isanomaly"))
 
 
-def _usable():
-    """Complete, and with a value that the readings table can hold; NaN and infinity cannot pass."""
-    names = ("m.source.id", "m.source.base", "m.eventtime", "m.variation", "m.isanomaly")
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & F.col(name).isNotNull()
+# The fields that a message has to have, in the order in which their lack is told.
+FIELDS = ("source.id", "source.base", "eventtime", "variation", "isanomaly")
+
+
+def _storable() -> Column:
+    """With a value that the readings table can hold; NaN and infinity cannot pass."""
     within = (_value() > F.lit(-(2.0**31) - 1)) & (_value() < F.lit(2.0**31))
-    return condition & F.coalesce(within, F.lit(False))
+    return F.coalesce(within, F.lit(False))
 
 
-def decode_messages(raw: DataFrame, data: str = "data") -> DataFrame:
-    """Raw sensor messages to device events. What lacks a field or has no storable value is left to
-    `rejected_messages`."""
-    return _parsed(raw, data, RAW_MESSAGE).filter(_usable()).select(
+def _reason() -> Column:
+    """Why a message cannot be stored; null for one that can."""
+    missing = [F.col(f"m.{name}").isNull() for name in FIELDS]
+    reason = F.when(reduce(lambda a, b: a & b, missing), "no message")
+    for name, lacks in zip(FIELDS, missing):
+        reason = reason.when(lacks, f"no {name}")
+    return reason.when(~_storable(), "value out of range")
+
+
+def parsed_messages(raw: DataFrame, data: str = "data") -> DataFrame:
+    """Raw sensor messages with their fields and, where they cannot be stored, the `reason`: one parse for
+    `usable_events` and `rejects`."""
+    return _parsed(raw, data, RAW_MESSAGE).select(
+        F.col(data).alias("data"),
         F.col("m.source.id").alias("id"),
         F.col("m.eventtime").alias("eventtime"),
         _value().alias("value"),
         F.col("m.source.base").alias("base"),
+        _reason().alias("reason"),
     )
 
 
+def usable_events(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("reason").isNull()).select("id", "eventtime", "value", "base")
+
+
+def rejects(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("reason").isNotNull()).select("data", "reason")
+
+
+def decode_messages(raw: DataFrame, data: str = "data") -> DataFrame:
+    """Raw sensor messages to device events. What lacks a field or has no storable value is left to
+    `rejected_messages`."""
+    return usable_events(parsed_messages(raw, data))
+
+
 def rejected_messages(raw: DataFrame, data: str = "data") -> DataFrame:
-    return _parsed(raw, data, RAW_MESSAGE).filter(~_usable()).select(data)
+    """Messages that cannot be stored, as they came, and why."""
+    return rejects(parsed_messages(raw, data))
 
 
 def with_event_time(events: DataFrame) -> DataFrame:

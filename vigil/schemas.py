@@ -60,6 +60,30 @@ LINE = T.StructType([
 
 REJECT = T.StructType([
     T.StructField("data", T.BinaryType()),
+    T.StructField("reason", T.StringType()),
+])
+
+LATEST_READING = T.StructType([
+    T.StructField("device_id", T.IntegerType()),
+    T.StructField("eventtime", T.LongType()),
+    T.StructField("value", T.IntegerType()),
+])
+
+LATE_ROW = T.StructType([
+    T.StructField("stage", T.StringType()),
+    T.StructField("id", T.IntegerType()),
+    T.StructField("eventtime", T.LongType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("window_start", T.LongType()),
+    T.StructField("watermark", T.LongType()),
+])
+
+PROGRESS = T.StructType([
+    T.StructField("messages", T.LongType()),
+    T.StructField("events", T.LongType()),
+    T.StructField("rejects", T.LongType()),
+    T.StructField("late", T.LongType()),
+    T.StructField("last_eventtime", T.LongType()),
 ])
 
 TRIGGER = T.StructType([
@@ -67,6 +91,14 @@ TRIGGER = T.StructType([
     T.StructField("eventtime", T.LongType()),
 ])
 
+PANE_ROW = T.StructType([
+    *TRIGGER.fields,
+    T.StructField("firing", T.StringType()),
+    T.StructField("window_start", T.LongType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("watermark", T.LongType()),
+])
+
 ALERT_RECORD = T.StructType([
     T.StructField("id", T.IntegerType()),
     T.StructField("eventtime", T.LongType()),

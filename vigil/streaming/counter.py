@@ -65,10 +65,85 @@ def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def count_triggers(events: DataFrame, limit: int, cooldown_ms: int) -> DataFrame:
     """(id, eventtime) of every trigger; only these two columns reach Python."""
+    return _counted(events, EventCounter(limit, cooldown_ms), "id int, eventtime bigint")
+
+
+def _counted(events: DataFrame, counter: EventCounter, schema: str) -> DataFrame:
     packed = events.select("id", "eventtime").mapInPandas(_packed, "id int, times array<bigint>")
     return packed.groupBy("id").transformWithStateInPandas(
-        statefulProcessor=EventCounter(limit, cooldown_ms),
-        outputStructType="id int, eventtime bigint",
-        outputMode="append",
-        timeMode="processingTime",
+        statefulProcessor=counter, outputStructType=schema, outputMode="append", timeMode="processingTime",
     )
+
+
+TRIGGERED, PANE_FIRED, TOO_LATE = "trigger", "pane", "too late"
+PANED = "id int, eventtime bigint, firing string, window_start bigint, n bigint, watermark bigint"
+
+
+class PaneCounter(EventCounter):
+    """Counts as `EventCounter` does, and gathers each device's triggers in windows of event time.
+
+    The pane of a window fires once: `delay_ms` of processing time after its first trigger, or as soon as the
+    watermark is `lateness_ms` beyond its end. A trigger that comes when its pane has fired or its window is that far
+    behind is too late. A device has one pane for each window of at least one trigger, until that window is over.
+    """
+
+    def __init__(self, limit: int, cooldown_ms: int, length_ms: int, lateness_ms: int, delay_ms: int):
+        super().__init__(limit, cooldown_ms)
+        self.length_ms = length_ms
+        self.lateness_ms = lateness_ms
+        self.delay_ms = delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.panes = handle.getMapState(
+            "panes", "window_start BIGINT", "n BIGINT, last BIGINT, due BIGINT, fired BOOLEAN")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now, watermark = timerValues.getCurrentProcessingTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        for found in super().handleInputRows(key, rows, timerValues):
+            for at in found["eventtime"].tolist():
+                start = at - at % self.length_ms
+                yield self._row(key, at, TRIGGERED, start, 1, watermark)
+                n, last, due, fired = 0, at, now + self.delay_ms, False
+                if self.panes.exists() and self.panes.containsKey((start,)):
+                    n, last, due, fired = self.panes.getValue((start,))
+                if fired or self._over(start, watermark):
+                    yield self._row(key, at, TOO_LATE, start, 1, watermark)
+                else:
+                    self.panes.updateValue((start,), (n + 1, max(last, at), due, False))
+        yield from self._fire(key, now, watermark)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+        yield from self._fire(key, timerValues.getCurrentProcessingTimeInMs(), timerValues.getCurrentWatermarkInMs())
+
+    def _over(self, start: int, watermark: int) -> bool:
+        return start + self.length_ms + self.lateness_ms <= watermark
+
+    def _fire(self, key, now: int, watermark: int) -> Iterator[pd.DataFrame]:
+        if not self.panes.exists():
+            return
+        for (start,), (n, last, due, fired) in list(self.panes.iterator()):
+            over = self._over(start, watermark)
+            if not fired and (over or due <= now):
+                yield self._row(key, last, PANE_FIRED, start, n, watermark)
+                self.panes.updateValue((start,), (n, last, due, True))
+                fired = True
+            if over:
+                self.panes.removeKey((start,))
+            else:
+                self.handle.registerTimer(now + max(self.lateness_ms, 1) if fired else max(due, now + 1))
+
+    @staticmethod
+    def _row(key, at, firing, start, n, watermark) -> pd.DataFrame:
+        return pd.DataFrame({"id": [key[0]], "eventtime": [at], "firing": [firing], "window_start": [start], "n": [n],
+                             "watermark": [watermark]})
+
+
+def count_panes(
+    events: DataFrame, limit: int, cooldown_ms: int, length_ms: int, lateness_ms: int, delay_ms: int
+) -> DataFrame:
+    """Triggers, panes and triggers that are too late, of a stream of events (id, eventtime, event_ts). The watermark is
+    the greatest event time of the batches before."""
+    marked = events.withWatermark("event_ts", "0 seconds")
+    return _counted(marked, PaneCounter(limit, cooldown_ms, length_ms, lateness_ms, delay_ms), PANED)
