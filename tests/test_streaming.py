@@ -246,6 +246,49 @@ def test_training_runs_with_adaptive_execution(spark, root, live, no_idle_batche
     assert seen == ["true"]
 
 
+def test_training_does_not_read_the_log(spark, root, live, no_idle_batches, monkeypatch):
+    """Batches go on, and what training reads stays at most the newest readings of a device and batch."""
+    from vigil.operators.training import latest_history
+
+    store = jobs.Store.under(f"{root}/store", live)
+    messages = read_messages(spark, live)
+    for n in range(3):
+        drop(live, f"part{n}", [line(1, T0 + 100 * n + i, i % 3) for i in range(40)])
+        jobs.start_persisting(messages, store, f"{root}/c1", live, once=True).awaitTermination()
+    wanted = spark.createDataFrame([(1,)], "device_id int")
+    kept = store.latest.read_keys(spark, wanted)
+    assert all("/latest/" in f for f in kept.inputFiles())
+    assert store.latest.read_log(spark).count() <= 3 * live.history_limit < store.readings.read(spark).count()
+    newest = latest_history(store.readings.read(spark), live.history_limit, 2, 2)
+    assert {(r.eventtime, r.value) for r in kept.collect()} == {(r.eventtime, r.value) for r in newest.collect()}
+    monkeypatch.setattr(jobs.KeyedTable, "read", lambda *a: pytest.fail("the readings were read"))
+    jobs.start_training(messages, store, f"{root}/c2", live, once=True).awaitTermination()
+    assert [r.n for r in store.models.read_log(spark).collect()] == [live.history_limit]
+
+
+def test_late_events_survive_a_restart(spark, root, live):
+    """The watermark is read back from what the batches before have noted, folded or not."""
+    store = jobs.Store.under(f"{root}/store", live)
+    messages = read_messages(spark, live)
+
+    def run():
+        jobs.start_ingesting(messages, store, f"{root}/c", live, once=True).awaitTermination()
+
+    for n, at in enumerate([0, 500_000, 600_000]):
+        drop(live, f"a{n}", [line(1, T0 + at)])
+        run()
+    store.progress.fold(spark, grace_ms=0)
+    drop(live, "b", [line(1, T0 + 599_000), line(1, T0 + 590_000), line(1, T0 + 400_000), "broken"])
+    run()
+    late = {(r.stage, r.eventtime - T0) for r in store.late.read(spark).collect()}
+    assert late == {("persist", 590_000), ("persist", 400_000), ("score", 400_000)}
+    stored = {t - T0: v for (_, t), v in readings(store, spark).items()}
+    assert stored[599_000] == (120, 0.0) and stored[590_000] == (None, 0.0) and 400_000 not in stored
+    noted = {r.batch: (r.messages, r.events, r.rejects, r.late) for r in store.progress.read(spark).collect()}
+    assert noted == {0: (1, 1, 0, 0), 1: (1, 1, 0, 0), 2: (1, 1, 0, 0), 3: (4, 3, 1, 3)}
+    assert [r.reason for r in store.rejects.read(spark).collect()] == ["no message"]
+
+
 def test_append_and_line_sinks(spark, root, live):
     store = jobs.Store.under(f"{root}/store", live)
     rows = spark.createDataFrame([(1, 2, 3)], "device_id int, value int, eventtime long").select(

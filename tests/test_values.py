@@ -143,3 +143,13 @@ def test_settings_are_typed():
     assert Settings(refresh_ms="90000").refresh_ms == 90_000
     with pytest.raises(ValueError):
         Settings(trigger_limit=0)
+
+
+def test_radius_of_very_many_wide_readings(spark):
+    from pyspark.sql import functions as F
+
+    from vigil.functions.numeric import radius
+
+    n, top = 2_000_000_000, 2**31 - 1
+    row = spark.sql(f"SELECT {n}L n, {n * top}L s, cast('{n * top * top}' as decimal(28, 0)) ss")
+    assert row.select(radius(F.col("n"), F.col("s"), F.col("ss"))).first()[0] == 0.0

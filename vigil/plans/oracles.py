@@ -120,6 +120,44 @@ WHERE (in_first OR (w + 1) * {length} > (SELECT max(eventtime) - {lateness} FROM
 GROUP BY w"""
 
 
+USABLE = "event_type NOT IN ('error', 'view') AND NOT (event_type = 'click' AND k % 10 IN (1, 2))"
+
+# The three steps in which the events of the pane query come, and the watermark in each.
+ARRIVED = """
+ends AS (SELECT min(eventtime) AS t0, max(eventtime) AS t1 FROM dev),
+arrived AS (
+  SELECT dev.*, least(3, CASE WHEN eventtime < t0 + (t1 - t0) // 3 THEN 1 WHEN eventtime < t0 + 2 * (t1 - t0) // 3 THEN 2 ELSE 3 END
+                         + CASE WHEN event_id % 7 = 0 THEN 1 + event_id % 2 ELSE 0 END) AS step FROM dev, ends),
+marks AS (SELECT s AS step, coalesce((SELECT max(eventtime) FROM arrived WHERE arrived.step < s), 0) AS mark
+          FROM range(1, 4) t(s))"""
+
+
+def _panes(length, lateness):
+    """Without a delay each batch fires what it brings. With a long one, rows wait for the first later step whose
+    watermark has passed the end of their window, or for late ones the end and the lateness."""
+    panes = "count(*) AS batch_rows, min(eventtime) AS first_eventtime, max(eventtime) AS last_eventtime"
+    kind = f"""CASE WHEN w + {length + lateness} <= mark THEN 'dropped' WHEN w + {length} <= mark THEN 'late' ELSE 'early' END"""
+    return _sql(DEV, ARRIVED, f"""
+placed AS (SELECT eventtime, step, w, {kind} AS firing
+           FROM (SELECT *, eventtime // {length} * {length} AS w FROM arrived JOIN marks USING (step))),
+waiting AS (
+  SELECT p.*, CASE WHEN firing = 'dropped' THEN step ELSE (
+      SELECT min(m.step) FROM marks m
+      WHERE m.step > p.step AND p.w + {length} + CASE WHEN firing = 'late' THEN {lateness} ELSE 0 END <= m.mark) END AS fired
+  FROM placed p)""", select=f"""
+SELECT 'none' AS delay, w AS window_start, firing, {panes} FROM placed GROUP BY step, w, firing
+UNION ALL
+SELECT 'long' AS delay, w AS window_start, CASE WHEN firing = 'early' THEN 'on time' ELSE firing END AS firing, {panes}
+FROM waiting WHERE fired IS NOT NULL GROUP BY fired, w, firing""")
+
+
+def _stored_or_late(stage, lateness):
+    return f"""
+SELECT '{stage}' AS stage, id + 1000 AS id, eventtime,
+       in_first OR (eventtime // 2000 + 1) * 2000 + {lateness} > (SELECT max(eventtime) FROM halves WHERE in_first) AS stored
+FROM halves"""
+
+
 def oracle_sql() -> dict[str, str]:
     dev_models = _fit("models", "(SELECT id, eventtime, bp AS value FROM dev)", "max(eventtime)")
     latest_models = _fit("models", "latest", "max(eventtime)")
@@ -150,6 +188,11 @@ SELECT id, eventtime, CASE WHEN event_type = 'click' AND k % 10 = 4
          THEN base::DOUBLE * 1.1::DOUBLE + variation::DOUBLE ELSE value END AS value, base::DOUBLE AS base
 FROM raw JOIN (SELECT event_id, value FROM msg) USING (event_id)
 WHERE event_type NOT IN ('error', 'view') AND NOT (event_type = 'click' AND k % 10 IN (1, 2))"""),
+        "reject_reasons": _sql(MSG, select="""
+SELECT reason, count(*) AS n_messages FROM (
+  SELECT CASE WHEN event_type = 'error' THEN 'no message' WHEN event_type = 'view' THEN 'no eventtime'
+              WHEN k % 10 IN (1, 2) AND event_type = 'click' THEN 'value out of range' END AS reason FROM raw)
+WHERE reason IS NOT NULL GROUP BY reason"""),
         "reject_messages": rejects,
         "reject_stream": rejects,
         "key_triples": _sql(MSG, select="SELECT id, eventtime, trunc(value)::BIGINT AS value FROM msg"),
@@ -238,6 +281,27 @@ SELECT id, eventtime FROM (
 WHERE CASE WHEN n_early >= {LIMIT} THEN in_half = {LIMIT} ELSE rn = {LIMIT} END"""),
         "late_rows_stream": _sql(DEV, HALVES, select=" UNION ALL ".join(
             _late(*stage) for stage in (("persist", 2_000, 2_000), ("training", 15_000, 30_000), ("score", 2_000, 120_000)))),
+        "pane_counts_stream": _panes(3_600_000, 2 * 86_400_000),
+        "training_panes_stream": _sql(DEV, select=f"""
+SELECT id, eventtime, firing, eventtime // 15000 * 15000 AS window_start, 1::BIGINT AS n
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY eventtime) AS rn FROM dev), (VALUES ('trigger'), ('pane')) f(firing)
+WHERE rn = {LIMIT}"""),
+        "late_events_stream": _sql(DEV, HALVES, select=" UNION ALL ".join(
+            _stored_or_late(*stage) for stage in (("persist", 86_400_000), ("score", 3 * 86_400_000)))),
+        "batch_counts_stream": _sql(MSG, f"""
+timed AS (SELECT *, ({USABLE}) AS usable, (min(eventtime) OVER () + max(eventtime) OVER ()) // 2 AS half_time FROM raw),
+steps AS (SELECT *, CASE WHEN eventtime < half_time AND event_id % 7 <> 0 THEN 0 ELSE 1 END AS step FROM timed),
+mark AS (SELECT max(eventtime) AS mark FROM steps WHERE usable AND step = 0)""", select="""
+SELECT 'ingest' AS query, step::BIGINT AS batch, count(*) AS messages, count_if(usable)::BIGINT AS events, count_if(NOT usable)::BIGINT AS rejects,
+       (count_if(usable AND step = 1 AND (eventtime // 2000 + 1) * 2000 + 2000 <= mark)
+        + count_if(usable AND step = 1 AND (eventtime // 2000 + 1) * 2000 + 120000 <= mark))::BIGINT AS late,
+       max(eventtime) FILTER (usable) AS last_eventtime
+FROM steps, mark GROUP BY step"""),
+        "folded_tables_stream": _sql(MSG, select=f"""
+SELECT 'readings' AS kind, id AS device_id, eventtime, trunc(value)::INT AS value FROM msg
+UNION ALL
+SELECT 'latest', id, eventtime, trunc(value)::INT FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY eventtime DESC) AS rn FROM msg) WHERE rn <= {HISTORY}"""),
         "score_stream": _sql(*_msg_scores(), select="SELECT * FROM scored WHERE distance > 3.0::DOUBLE"),
         "score_distances_stream": _sql(*_msg_scores(), select="""
 SELECT id AS device_id, eventtime, distance::FLOAT AS distance FROM scored"""),

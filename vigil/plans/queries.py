@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.config import DAY_MS, HOUR_MS, Settings
+from vigil.config import DAY_MS, HOUR_MS, Settings, duration_ms
 from vigil.functions.codec import (
     decode_messages,
     encode_events,
@@ -30,7 +32,7 @@ from vigil.plans.inputs import (
 from vigil.session import ROCKSDB, new_folder
 from vigil.sources.sinks import keyed_sink, line_sink
 from vigil.streaming import jobs
-from vigil.streaming.counter import count_triggers
+from vigil.streaming.counter import count_panes, count_triggers
 
 # The given tables hold under 100 events per device, so the live settings would never trigger.
 REPLAY = Settings(
@@ -88,6 +90,13 @@ def reject_messages(spark, sf_dir):
     return rejected.select(F.col("data").cast("string").alias("data"))
 
 
+@query
+def reject_reasons(spark, sf_dir):
+    """Why messages of a damaged table cannot be stored."""
+    rejected = rejected_messages(as_damaged_messages(read_events(spark, sf_dir)))
+    return rejected.groupBy("reason").agg(F.count("*").alias("n_messages"))
+
+
 @query
 def decode_damaged(spark, sf_dir):
     return decode_messages(as_damaged_messages(read_events(spark, sf_dir)))
@@ -371,12 +380,7 @@ def _middle(spark, sf_dir) -> int:
 
 
 def _fired(spark, events, folder, cooldown_ms):
-    # A processing-time timer keeps a run-once query alive through no-data batches.
-    with _conf(
-        spark,
-        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
-        spark__sql__streaming__noDataMicroBatches__enabled="false",
-    ):
+    with _waiting_for_data(spark):
         triggers = count_triggers(events, REPLAY.trigger_limit, cooldown_ms)
         triggers.writeStream.format("parquet").option("path", f"{folder}/rows").option(
             "checkpointLocation", f"{folder}/checkpoint"
@@ -429,6 +433,126 @@ def late_rows_stream(spark, sf_dir):
     return _plain_times(rows[0].unionByName(rows[1]).unionByName(rows[2]))
 
 
+def _waiting_for_data(spark):
+    """Settings under which a run-once query ends with its input: a processing-time timer would keep it alive
+    through batches without data."""
+    return _conf(
+        spark,
+        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+        spark__sql__streaming__noDataMicroBatches__enabled="false",
+    )
+
+
+# Panes of windows that rows reach in three steps: as they come, and held back by a long delay.
+PANE_LENGTH, PANE_LATENESS = "1 hour", "2 days"
+
+
+@query
+def pane_counts_stream(spark, sf_dir):
+    """The panes of hour windows when rows come in order, late, and too late: once with panes that fire in the batch
+    of their rows, and once with panes that wait for the watermark."""
+    first, last = _events(spark, sf_dir).agg(F.min("eventtime"), F.max("eventtime")).first()
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    third = F.when(at < first + (last - first) // 3, 1).when(at < first + 2 * (last - first) // 3, 2).otherwise(3)
+    step = third + F.when(F.col("event_id") % 7 == 0, 1 + F.col("event_id") % 2).otherwise(0)
+    folder, drop, stream = _steps(spark, sf_dir, "panes", step == 1, step == 2, step >= 3)
+    events = with_event_time(as_device_events(stream))
+    delays = {"none": "0 seconds", "long": "1 day"}
+
+    def run():
+        for name, delay in delays.items():
+            with _waiting_for_data(spark):
+                jobs.start_panes(
+                    events, f"{folder}/{name}", f"{folder}/{name}-checkpoint", PANE_LENGTH, PANE_LATENESS, delay, None
+                ).awaitTermination()
+
+    run()
+    drop(1)
+    run()
+    drop(2)
+    run()
+    panes = [spark.read.parquet(f"{folder}/{name}").select(F.lit(name).alias("delay"), "*") for name in delays]
+    return panes[0].unionByName(panes[1])
+
+
+@query
+def training_panes_stream(spark, sf_dir):
+    """Triggers as they come, and the pane of their window one second of processing time later."""
+    folder = new_folder(spark, "training-panes")
+    events = with_event_time(as_device_events(stream_events(spark, sf_dir)))
+    found = count_panes(
+        events, REPLAY.trigger_limit, REPLAY.cooldown_ms, duration_ms(REPLAY.training_window),
+        duration_ms(REPLAY.training_lateness), 1000)
+    with _conf(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+        running = found.writeStream.format("parquet").option("path", f"{folder}/rows").option(
+            "checkpointLocation", f"{folder}/checkpoint").trigger(processingTime="500 milliseconds").start()
+        # With timers there is always a next batch. One that began after the delay, counted from the first without
+        # rows, has fired all panes.
+        _wait_for(running, lambda p: p["numInputRows"] == 0)
+        enough = time.time() + 1.5
+        _wait_for(running, lambda p: datetime.fromisoformat(p["timestamp"]).timestamp() > enough)
+        running.stop()
+    return spark.read.parquet(f"{folder}/rows").select("id", "eventtime", "firing", "window_start", "n")
+
+
+def _wait_for(running, holds, seconds: float = 120) -> None:
+    """Until the last batch of a live query is as asked."""
+    until = time.time() + seconds
+    while not (running.lastProgress and holds(running.lastProgress)):
+        if time.time() > until or not running.isActive:
+            raise RuntimeError(f"the query did not come so far: {running.exception()}")
+        time.sleep(0.2)
+
+
+def _late_parts(spark, sf_dir):
+    """Conditions of two steps: every seventh event of the first half comes with the second."""
+    early = F.unix_millis(F.col("ts").cast("timestamp")) < _middle(spark, sf_dir)
+    first = early & (F.col("event_id") % 7 != 0)
+    return first, ~first
+
+
+def _in_steps(spark, sf_dir, name, settings, parts, messages=as_messages, start=jobs.start_ingesting):
+    """The store after a run for each step of the events."""
+    folder, drop, stream = _steps(spark, sf_dir, name, *parts)
+    store = jobs.Store.under(folder, settings)
+    for n in range(len(parts)):
+        if n:
+            drop(n)
+        start(messages(stream), store, f"{folder}/checkpoint", settings, once=True).awaitTermination()
+    return store
+
+
+@query
+def late_events_stream(spark, sf_dir):
+    """What each stage of live ingest has stored and what it has kept as late: together every event once a stage."""
+    settings = replace(REPLAY, table_buckets=4, persist_lateness="1 day", score_lateness="3 days")
+    store = _in_steps(spark, sf_dir, "late-events", settings, _late_parts(spark, sf_dir))
+    stored = store.readings.read(spark).withColumnRenamed("device_id", "id")
+    kept = [stored.filter(F.col(c).isNotNull()).select(F.lit(s).alias("stage"), "id", "eventtime", F.lit(True).alias("stored"))
+            for s, c in (("persist", "value"), ("score", "distance"))]
+    late = store.late.read(spark).select("stage", "id", "eventtime", F.lit(False).alias("stored"))
+    return kept[0].unionByName(kept[1]).unionByName(late)
+
+
+@query
+def batch_counts_stream(spark, sf_dir):
+    """What each batch of a damaged stream held, as noted while it was worked on."""
+    store = _in_steps(
+        spark, sf_dir, "counts", replace(REPLAY, table_buckets=4), _late_parts(spark, sf_dir), as_damaged_messages)
+    return store.progress.read(spark)
+
+
+@query
+def folded_tables_stream(spark, sf_dir):
+    """Readings, and the newest of each device, after six batches of which every second one folds the tables."""
+    settings = replace(REPLAY, table_buckets=2, fold_batches=2, persist_lateness="60 days")
+    parts = [F.col("event_id") % 6 == n for n in range(6)]
+    store = _in_steps(spark, sf_dir, "folds", settings, parts, start=jobs.start_persisting)
+    tables = {"readings": store.readings, "latest": store.latest}
+    rows = [t.read(spark).select(F.lit(n).alias("kind"), "device_id", "eventtime", "value") for n, t in tables.items()]
+    return rows[0].unionByName(rows[1])
+
+
 def _scored_store(spark, sf_dir, sinks=(), start=jobs.start_scoring):
     root = new_folder(spark, "score")
     store = jobs.Store.under(root, replace(REPLAY, table_buckets=4))
@@ -472,11 +596,7 @@ def _trained_store(spark, sf_dir):
     store = jobs.Store.under(root, replace(REPLAY, table_buckets=4))
     messages = as_messages(stream_events(spark, sf_dir))
     jobs.start_persisting(messages, store, f"{root}/persist", REPLAY, once=True).awaitTermination()
-    with _conf(
-        spark,
-        spark__sql__streaming__stateStore__providerClass=ROCKSDB,
-        spark__sql__streaming__noDataMicroBatches__enabled="false",
-    ):
+    with _waiting_for_data(spark):
         jobs.start_training(
             messages, store, f"{root}/train", REPLAY, once=True, clock=lambda: TRAINED_AT
         ).awaitTermination()

@@ -79,6 +79,8 @@ LATE_ROW = T.StructType([
 ])
 
 PROGRESS = T.StructType([
+    T.StructField("query", T.StringType()),
+    T.StructField("batch", T.LongType()),
     T.StructField("messages", T.LongType()),
     T.StructField("events", T.LongType()),
     T.StructField("rejects", T.LongType()),

@@ -3,18 +3,20 @@
 Every micro-batch writes a folder of its own, `writer=<name>/batch_id=<n>/attempt=<a>`; of a batch that a restart
 writes again the newest complete attempt counts, so that no row is repeated or lost. From time to time the batches
 so far are folded into one folder, and a small pointer file then says which folders stand for them. No folder is
-written twice; what a fold has replaced stays for readers until the next one. Readers see the latest value per key.
+written twice; what a fold has replaced stays until readers have had time to end. Readers see the latest value per key.
 """
 
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.config import HOUR_MS
 from vigil.operators.ordered import latest_rows
 from vigil.operators.upsert import merge_log
 from vigil.sources.files import Folder
@@ -42,11 +44,12 @@ class BatchLog:
     def read(self, spark: SparkSession) -> DataFrame:
         return self.read_log(spark).select(*self.schema.names)
 
-    def fold(self, spark: SparkSession, fan: int = 8) -> None:
+    def fold(self, spark: SparkSession, fan: int = 8, grace_ms: int = HOUR_MS) -> None:
         """Fold the batches since the last fold into one folder; to be called by one process at a time.
 
         The newest batch of each writer stays, as a restart may write it again. `fan` folds of a size become one,
-        like the digits of a number, so that there are few and a row is written anew only now and then."""
+        like the digits of a number, so that there are few and a row is written anew only now and then. What a fold
+        has replaced is removed by a later one, when readers have had `grace_ms` to end."""
         before = self._pointer(spark)
         number = before["number"] + 1
         folded, tier = list(before["folds"]), 0
@@ -63,8 +66,11 @@ class BatchLog:
         self._write(self._merged(log), FOLDED, number)
         upto = before["upto"] | {w: max(b[1] for b in batches if b[0] == w) for w in {b[0] for b in batches}}
         folder = Folder(spark, self.path)
-        folder.create(f"_folds/{number:010d}", json.dumps({"number": number, "folds": [*folded, [number, tier]], "upto": upto}))
-        self._forget(folder, before)
+        pointer = {"number": number, "folds": [*folded, [number, tier]], "upto": upto, "at": time.time_ns() // 1_000_000}
+        folder.create(f"_folds/{number:010d}", json.dumps(pointer))
+        old = [p for p in self._pointers(folder)[:-1] if p["at"] <= pointer["at"] - grace_ms]
+        if old:
+            self._forget(folder, old[-1])
 
     def _forget(self, folder: Folder, pointer: dict) -> None:
         """Remove what was already replaced when `pointer` was the newest."""
@@ -78,10 +84,13 @@ class BatchLog:
             if int(name.split("/")[1]) < pointer["number"]:
                 folder.remove(name)
 
+    @staticmethod
+    def _pointers(folder: Folder, last: int = 0) -> list[dict]:
+        names = sorted(n for n in folder.matching("_folds/*") if n.rsplit("/", 1)[1].isdigit())
+        return [json.loads(folder.read(n)) for n in names[-last:]]
+
     def _pointer(self, spark: SparkSession) -> dict:
-        folder = Folder(spark, self.path)
-        names = [n for n in folder.matching("_folds/*") if n.rsplit("/", 1)[1].isdigit()]
-        return json.loads(folder.read(max(names))) if names else {"number": 0, "folds": [], "upto": {}}
+        return next(iter(self._pointers(Folder(spark, self.path), 1)), {"number": 0, "folds": [], "upto": {}})
 
     def _newest(self, spark: SparkSession) -> list[tuple[str, int, int]]:
         """(writer, batch, attempt) of the newest complete attempt of every batch."""

@@ -129,14 +129,14 @@ class Progress:
     def watermark(self, spark: SparkSession, batch_id: int) -> int | None:
         """Of several queries that share the table, each goes by its own rows."""
         if self.known is None or self.known[0] != batch_id:
-            own = self.table.read_log(spark).filter(
-                (F.col("writer") == self.writer) & (F.col("batch_id") < batch_id))
+            own = self.table.read(spark).filter((F.col("query") == self.writer) & (F.col("batch") < batch_id))
             self.known = batch_id, own.agg(F.max("last_eventtime")).first()[0]
         return self.known[1]
 
     def note(self, spark: SparkSession, batch_id: int, counts: dict) -> None:
         mark = self.watermark(spark, batch_id)
-        rows = spark.createDataFrame([[counts[name] for name in PROGRESS.names]], PROGRESS)
+        noted = {"query": self.writer, "batch": batch_id, **counts}
+        rows = spark.createDataFrame([[noted[name] for name in PROGRESS.names]], PROGRESS)
         self.table.append(rows.coalesce(1), self.writer, batch_id)
         times = [t for t in (mark, counts["last_eventtime"]) if t is not None]
         self.known = batch_id + 1, max(times, default=None)
