@@ -24,13 +24,16 @@ def snapshot_windows(events: DataFrame, refresh_ms: int) -> DataFrame:
 
     The first and last time are looked up when this is called."""
     first, last = events.agg(F.min("eventtime"), F.max("eventtime")).first()
+    span = (0, -1) if first is None else (first, last)
+    return windows_of_ticks(refresh_ticks(events.sparkSession, *span, refresh_ms), events, refresh_ms)
+
+
+def windows_of_ticks(ticks: DataFrame, events: DataFrame, refresh_ms: int) -> DataFrame:
+    """Each of the `ticks` with the events that are scored from its snapshot."""
     used = events.groupBy(refresh_tick(F.col("eventtime"), refresh_ms).alias("tick")).agg(
         F.count("*").alias("n_events")
     )
-    span = (0, -1) if first is None else (first, last)
-    return refresh_ticks(events.sparkSession, *span, refresh_ms).join(used, "tick", "left").select(
-        "tick", F.coalesce("n_events", F.lit(0)).alias("n_events")
-    )
+    return ticks.join(used, "tick", "left").select("tick", F.coalesce("n_events", F.lit(0)).alias("n_events"))
 
 
 def with_effective_time(versions: DataFrame, refresh_ms: int) -> DataFrame:

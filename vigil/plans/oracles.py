@@ -169,6 +169,10 @@ SELECT CASE WHEN event_type = 'error' THEN substr(body, 1, 30)
             WHEN k % 10 = 1 THEN replace(body, '"base":' || base, '"base":NaN')
             ELSE replace(body, '"base":' || base, '"base":1e12') END AS data
 FROM txt WHERE event_type IN ('error', 'view') OR event_type = 'click' AND k % 10 IN (1, 2)""")
+    snapshot_windows = _sql(DEV, select=f"""
+SELECT t.tick, coalesce(u.n_events, 0) AS n_events
+FROM (SELECT unnest(range(min(eventtime) // {REFRESH} * {REFRESH}, max(eventtime) + 1, {REFRESH})) AS tick FROM dev) t
+LEFT JOIN (SELECT eventtime // {REFRESH} * {REFRESH} AS tick, count(*) AS n_events FROM dev GROUP BY 1) u USING (tick)""")
     live_training = (f"""
 latest AS (
   SELECT * FROM (SELECT id, eventtime, trunc(value)::INT AS value, count(*) OVER (PARTITION BY id) AS events,
@@ -204,10 +208,8 @@ WHERE reason IS NOT NULL GROUP BY reason"""),
 SELECT id, eventtime, {_stamp('(eventtime // 15000 * 15000)')} AS window_start,
        {_stamp('(eventtime // 15000 * 15000 + 15000)')} AS window_end FROM trig"""),
         "count_per_device": _sql(DEV, select="SELECT id, count(*) AS n_events FROM dev GROUP BY id"),
-        "snapshot_windows": _sql(DEV, select=f"""
-SELECT t.tick, coalesce(u.n_events, 0) AS n_events
-FROM (SELECT unnest(range(min(eventtime) // {REFRESH} * {REFRESH}, max(eventtime) + 1, {REFRESH})) AS tick FROM dev) t
-LEFT JOIN (SELECT eventtime // {REFRESH} * {REFRESH} AS tick, count(*) AS n_events FROM dev GROUP BY 1) u USING (tick)"""),
+        "snapshot_windows": snapshot_windows,
+        "ticks_stream": snapshot_windows,
         "collection_triggers": _sql(DEV, WALK.format(src="dev"), select="SELECT id, eventtime FROM trig"),
         "collection_triggers_sliced": _sql(DEV, WALK.format(src="dev"), select="SELECT id, eventtime FROM trig"),
         "training_history": _sql(DEV, LATEST, select=f"""

@@ -31,6 +31,7 @@ from vigil.plans.inputs import (
 )
 from vigil.session import ROCKSDB, new_folder
 from vigil.sources.sinks import keyed_sink, line_sink
+from vigil.sources.ticks import read_ticks
 from vigil.streaming import jobs
 from vigil.streaming.counter import count_panes, count_triggers
 
@@ -443,6 +444,19 @@ def _waiting_for_data(spark):
     )
 
 
+@query
+def ticks_stream(spark, sf_dir):
+    """Each refresh tick of the table's time with the events of its window, from a query that is started twice."""
+    events = _events(spark, sf_dir)
+    first, last = events.agg(F.min("eventtime"), F.max("eventtime")).first()
+    folder = new_folder(spark, "ticks")
+    for until in ((first + last) // 2, last):
+        read_ticks(spark, REPLAY.refresh_ms, first, until).writeStream.format("parquet").option(
+            "path", f"{folder}/rows").option("checkpointLocation", f"{folder}/checkpoint").trigger(
+            availableNow=True).start().awaitTermination()
+    return catalog.windows_of_ticks(spark.read.schema("tick bigint").parquet(f"{folder}/rows"), events, REPLAY.refresh_ms)
+
+
 # Panes of windows that rows reach in three steps: as they come, and held back by a long delay.
 PANE_LENGTH, PANE_LATENESS = "1 hour", "2 days"
 
