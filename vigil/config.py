@@ -36,6 +36,9 @@ class Settings:
 
     # Model catalog refresh and alerting.
     refresh_ms: int = 120_000
+    # Live scores take the snapshot that is there when an event arrives, or that of the event's own time; in the
+    # second case models are dated by their trigger, so that a replay gives the same distances.
+    score_by: str = "arrival"
     threshold: float = 3.0
 
     # Window length and allowed lateness of each stage.
@@ -67,3 +70,5 @@ class Settings:
                 if getattr(self, f.name) <= 0:
                     raise ValueError(f"{f.name} must be positive")
         object.__setattr__(self, "threshold", float(self.threshold))
+        if self.score_by not in ("arrival", "event time"):
+            raise ValueError("score_by is arrival or event time")

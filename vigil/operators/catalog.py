@@ -63,6 +63,27 @@ def model_snapshots(versions: DataFrame, refresh_ms: int) -> DataFrame:
     )
 
 
+def version_arrays(versions: DataFrame, refresh_ms: int, since: int | None = None) -> DataFrame:
+    """(id, versions): per device its versions in the order in which they become visible, as one sorted array.
+
+    With `since`, of the versions that are visible by then only the newest is kept: no event from then on needs the
+    others, so that the array stays as short as the versions of that time. A device has at most one version a tick."""
+    visible = newest_per_tick(with_effective_time(versions, refresh_ms))
+    columns = [c for c in visible.columns if c not in ("id", "effective_from")]
+    sorted_ = visible.groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("effective_from", *columns))).alias("versions"))
+    if since is None:
+        return sorted_
+    passed = F.size(F.filter("versions", lambda v: v["effective_from"] <= since))
+    first = F.greatest(passed, F.lit(1))
+    return sorted_.withColumn("versions", F.slice("versions", first, F.size("versions")))
+
+
+def visible_version(versions: str, time: str) -> Column:
+    """The last of a sorted array of versions that is visible at `time`, or null."""
+    return F.try_element_at(F.filter(versions, lambda v: v["effective_from"] <= F.col(time)), F.lit(-1))
+
+
 def latest_models(versions: DataFrame) -> DataFrame:
     """The catalog proper: one row per device, the last trained."""
     columns = [c for c in versions.columns if c != "id"]

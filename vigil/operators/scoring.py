@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.numeric import event_timestamp, normalized_distance, spread, whole
-from vigil.operators.catalog import with_model_as_of
+from vigil.operators.catalog import version_arrays, visible_version, with_model_as_of
 from vigil.operators.windows import tap
 from vigil.session import materialize
 
@@ -38,6 +38,17 @@ def score_with(events: DataFrame, table: DataFrame) -> DataFrame:
     return _with_distance(events.join(table, "id", "left"), events.columns)
 
 
+def version_table(versions: DataFrame, refresh_ms: int, since: int | None = None, folder: str | None = None) -> DataFrame:
+    """As `scoring_table`, with all versions of a device that events from `since` on may meet."""
+    return materialize(version_arrays(_score_columns(versions), refresh_ms, since), "versions", folder)
+
+
+def score_with_versions(events: DataFrame, table: DataFrame) -> DataFrame:
+    """Each event with its distance from the version in a `version_table` that was visible at its time."""
+    found = events.join(table, "id", "left").withColumn("_v", visible_version("versions", "eventtime"))
+    return _with_distance(found.select(*events.columns, "_v.*"), events.columns)
+
+
 def score(events: DataFrame, models: DataFrame) -> DataFrame:
     return score_with(events, scoring_table(models))
 

@@ -305,6 +305,9 @@ UNION ALL
 SELECT 'latest', id, eventtime, trunc(value)::INT FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY eventtime DESC) AS rn FROM msg) WHERE rn <= {HISTORY}"""),
         "score_stream": _sql(*_msg_scores(), select="SELECT * FROM scored WHERE distance > 3.0::DOUBLE"),
+        "score_event_time_stream": _sql(MSG, *_replay("msg"), select=f"""
+SELECT e.id AS device_id, e.eventtime, ({_distance('trunc(e.value)::BIGINT')})::FLOAT AS distance
+FROM msg e ASOF LEFT JOIN visible m ON e.id = m.id AND e.eventtime >= m.effective_from"""),
         "score_distances_stream": _sql(*_msg_scores(), select="""
 SELECT id AS device_id, eventtime, distance::FLOAT AS distance FROM scored"""),
         "ingest_stream": _sql(*_msg_scores(), select="""

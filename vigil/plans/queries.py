@@ -567,6 +567,23 @@ def folded_tables_stream(spark, sf_dir):
     return rows[0].unionByName(rows[1])
 
 
+@query
+def score_event_time_stream(spark, sf_dir):
+    """Live distances from the model versions of the batch replay, in two steps, each event by the snapshot of its own time."""
+    settings = replace(REPLAY, table_buckets=4, score_by="event time", score_lateness="60 days")
+    messages = _messages(spark, sf_dir)
+    versions = stages.train_models(stages.count_and_collect_events(decode_messages(messages), REPLAY))
+    folder, drop, stream = _steps(spark, sf_dir, "event-time", F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1)
+    store = jobs.Store.under(folder, settings)
+    keyed_sink(store.versions, "trainer")(versions, 0)
+    for n in range(2):
+        if n:
+            drop(n)
+        jobs.start_scoring(
+            as_messages(stream), store, f"{folder}/checkpoint", settings, once=True).awaitTermination()
+    return store.readings.read(spark).select("device_id", "eventtime", "distance")
+
+
 def _scored_store(spark, sf_dir, sinks=(), start=jobs.start_scoring):
     root = new_folder(spark, "score")
     store = jobs.Store.under(root, replace(REPLAY, table_buckets=4))

@@ -27,7 +27,7 @@ from vigil.functions.codec import (
     with_event_time,
 )
 from vigil.functions.numeric import slice_start
-from vigil.operators.scoring import anomalies, score_with, scoring_table
+from vigil.operators.scoring import anomalies, score_with, score_with_versions, scoring_table, version_table
 from vigil.operators.training import fit_models, latest_history
 from vigil.operators.windows import window_batches
 from vigil.schemas import (
@@ -62,6 +62,7 @@ class Store:
     latest: LatestTable
     training: BatchLog
     models: KeyedTable
+    versions: KeyedTable
     alerts: KeyedTable
     triggers: BatchLog
     panes: BatchLog
@@ -80,6 +81,7 @@ class Store:
                 limit=settings.history_limit, salts=settings.salts),
             BatchLog(f"{root}/training", LOADED_ROW),
             KeyedTable(f"{root}/models", MODEL, ("id",), 1, order="trained_at"),
+            KeyedTable(f"{root}/versions", MODEL, ("id", "trained_at"), 1),
             KeyedTable(f"{root}/alerts", ALERT_RECORD, ("id", "eventtime"), buckets, first_wins=True, order="notified_at"),
             BatchLog(f"{root}/triggers", TRIGGER),
             BatchLog(f"{root}/panes", PANE_ROW),
@@ -94,11 +96,14 @@ class CatalogSnapshot:
     """The catalog as of the last refresh tick, merged once per tick and not once per batch.
 
     Snapshots alternate between two folders, so the one in use is never overwritten and old ones
-    do not pile up.
+    do not pile up. `make` turns what the table holds into the snapshot.
     """
 
-    def __init__(self, models: KeyedTable, refresh_ms: int, clock: Callable[[], int] = now_ms):
-        self.models, self.refresh_ms, self.clock = models, refresh_ms, clock
+    def __init__(
+        self, models: KeyedTable, refresh_ms: int, clock: Callable[[], int] = now_ms,
+        make: Callable[[DataFrame, str], DataFrame] = scoring_table,
+    ):
+        self.models, self.refresh_ms, self.clock, self.make = models, refresh_ms, clock, make
         self.tick: int | None = None
         self.rows: DataFrame | None = None
         self.folder: str | None = None
@@ -108,11 +113,35 @@ class CatalogSnapshot:
         tick = self.clock() // self.refresh_ms
         if tick != self.tick:
             self.folder = self.folder or new_folder(spark, "snapshot")
-            self.rows = scoring_table(self.models.read(spark), f"{self.folder}/{self.taken % 2}")
+            self.rows = self.make(self.models.read(spark), f"{self.folder}/{self.taken % 2}")
             self.tick, self.taken = tick, self.taken + 1
         return self.rows
 
 
+class Scorer:
+    """Scores micro-batches against the snapshot that `score_by` asks for."""
+
+    def __init__(self, store: Store, settings: Settings, clock: Callable[[], int], progress: Progress):
+        self.by_time, self.progress = settings.score_by == "event time", progress
+        self.reach = duration_ms(settings.score_lateness) + duration_ms(settings.score_window)
+        self.refresh_ms, self.mark = settings.refresh_ms, None
+        self.catalog = CatalogSnapshot(
+            store.versions if self.by_time else store.models, settings.refresh_ms, clock,
+            self._versions if self.by_time else scoring_table)
+
+    def _versions(self, versions: DataFrame, folder: str) -> DataFrame:
+        # No event that is still scored is further behind the watermark.
+        since = None if self.mark is None else self.mark - self.reach
+        return version_table(versions, self.refresh_ms, since, folder)
+
+    def snapshot(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        self.mark = self.progress.watermark(spark, batch_id)
+        return self.catalog.current(spark)
+
+    def score(self, events: DataFrame, snapshot: DataFrame) -> DataFrame:
+        return (score_with_versions if self.by_time else score_with)(events, snapshot)
+
+
 def _start(stream: DataFrame, handle, checkpoint: str, every: str | None) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
@@ -240,8 +269,12 @@ def train_batch(
             tap(triggers, batch_id)
         # The write above is complete before the next statement reads it back: the barrier.
         loaded = store.training.read_batch(spark, "loads", batch_id)
-        dated = loaded.withColumn("trained_at", F.lit(clock()).cast("bigint"))
+        by_event = settings.score_by == "event time"
+        trained_at = F.unix_millis("collected_at") if by_event else F.lit(clock()).cast("bigint")
+        dated = loaded.withColumn("trained_at", trained_at)
         store.models.append(fit_models(dated, "trained_at"), "trainer", batch_id)
+        if by_event:
+            store.versions.append(store.models.read_batch(spark, "trainer", batch_id), "trainer", batch_id)
         for sink in sinks:
             sink(store.models.read_batch(spark, "trainer", batch_id), batch_id)
     finally:
@@ -283,22 +316,15 @@ def start_training(
         finally:
             rows.unpersist()
         if batch_id % settings.fold_batches == settings.fold_batches - 1:
-            for table in (store.panes, store.triggers, store.training, store.models):
+            for table in (store.panes, store.triggers, store.training, store.models, store.versions):
                 table.fold(spark)
 
     return _start(found, handle, checkpoint, None if once else settings.training_trigger)
 
 
-def score_batch(
-    events: DataFrame, batch_id: int, store: Store, settings: Settings, snapshot: DataFrame,
-    sinks: Sequence[BatchSink] = (),
-) -> None:
-    """Score one batch, store the distances, and record what is beyond the threshold; `sinks` get that too."""
-    _store_scores(events, batch_id, store, settings, snapshot, to_distances, "distances", sinks)
-
-
-def _store_scores(events, batch_id, store, settings, snapshot, projection, writer, sinks) -> None:
-    scores = score_with(events, snapshot).persist()
+def _store_scores(scores, batch_id, store, settings, projection, writer, sinks) -> None:
+    """Store the distances of a batch, and record what is beyond the threshold; `sinks` get that too."""
+    scores = scores.persist()
     try:
         store.readings.append(projection(scores), writer, batch_id)
         found = anomalies(scores, settings.threshold)
@@ -317,13 +343,17 @@ def start_scoring(
     clock: Callable[[], int] = now_ms, sinks: Sequence[BatchSink] = (),
 ) -> StreamingQuery:
     """Score every micro-batch; events that are too late for their window are kept as late rows."""
-    catalog = CatalogSnapshot(store.models, settings.refresh_ms, clock)
     intake = Intake(store, settings, "scorer", ["score"])
+    scorer = Scorer(store, settings, clock, intake.progress)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        snapshot = catalog.current(batch.sparkSession)
-        intake.take(batch, batch_id, lambda events: score_batch(
-            events.filter(~F.col("late_score")).drop("late_score"), batch_id, store, settings, snapshot, sinks))
+        snapshot = scorer.snapshot(batch.sparkSession, batch_id)
+
+        def score_and_store(events: DataFrame) -> None:
+            in_time = events.filter(~F.col("late_score")).drop("late_score")
+            _store_scores(scorer.score(in_time, snapshot), batch_id, store, settings, to_distances, "distances", sinks)
+
+        intake.take(batch, batch_id, score_and_store)
         intake.fold(batch.sparkSession, batch_id, store.alerts)
 
     return _start(messages, handle, checkpoint, None if once else settings.persist_trigger)
@@ -336,9 +366,9 @@ def start_ingesting(
     """`start_persisting` and `start_scoring` as one query: each message is parsed once, and each batch writes one
     row per reading with value and distance. An event that is too late to be stored but not to be scored leaves its
     distance alone."""
-    catalog = CatalogSnapshot(store.models, settings.refresh_ms, clock)
     keep = keyed_sink(store.latest, "readings", to_readings)
     intake = Intake(store, settings, "ingest", ["persist", "score"])
+    scorer = Scorer(store, settings, clock, intake.progress)
 
     def stored(scores: DataFrame) -> DataFrame:
         late = F.col("late_persist")
@@ -347,11 +377,11 @@ def start_ingesting(
         return rows.select("device_id", "eventtime", "value", "distance")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        snapshot = catalog.current(batch.sparkSession)
+        snapshot = scorer.snapshot(batch.sparkSession, batch_id)
 
         def score_and_store(events: DataFrame) -> None:
             in_time = events.filter(~F.col("late_score")).drop("late_score")
-            _store_scores(in_time, batch_id, store, settings, snapshot, stored, "readings", sinks)
+            _store_scores(scorer.score(in_time, snapshot), batch_id, store, settings, stored, "readings", sinks)
             keep(events.filter(~F.col("late_persist")), batch_id)
 
         intake.take(batch, batch_id, score_and_store)
