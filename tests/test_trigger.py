@@ -45,11 +45,12 @@ def frame(spark, devices):
 @pytest.mark.parametrize(
     "limit,cooldown,slice_ms", [(7, 5_000, 20_000), (1, 1, 60_000), (20, 61_000, 3_600_000), (100, 600_000, 600_000), (9, 700_000, 60_000)]
 )
-def test_slices_follow_the_rule(spark, limit, cooldown, slice_ms):
+@pytest.mark.parametrize("leaf_times", [1, 70, 4096])
+def test_slices_follow_the_rule(spark, limit, cooldown, slice_ms, leaf_times):
     devices = patterns(limit)
     expected = sorted((d, t) for d, times in devices.items() for t in replay(times, limit, cooldown))
     events = frame(spark, devices).persist()
-    got = collection_triggers(events, limit, cooldown, slice_ms)
+    got = collection_triggers(events, limit, cooldown, slice_ms, leaf_times)
     assert sorted((r.id, r.eventtime) for r in got.collect()) == expected
     events.unpersist()
 

@@ -5,10 +5,11 @@ Replay rule: take a device's events in time order and count; the event that brin
 again at zero.
 
 The rule is sequential, but what a stretch of time needs to know from its past is small: how far the
-count had come, or when the pause ends. So every device is cut into time slices, and each slice becomes,
-by itself, a table "state on entry -> state on exit". Tables of neighbouring slices are merged in rounds
-up a tree, and the known first state is then handed down it. A row holds one slice, or `FAN` tables of at
-most limit + cooldown + 1 entries, whatever the number of events of a device; one Python call takes many.
+count had come, or when the pause ends. So every device is cut into time slices, neighbours with few events
+are put together, and each such leaf becomes, by itself, a table "state on entry -> state on exit". Tables
+of neighbouring leaves are merged in rounds up a tree, and the known first state is then handed down it. A
+row holds one leaf, or `FAN` tables of at most limit + cooldown + 1 entries, whatever the number of events
+of a device; one Python call takes many.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.numeric import slice_start
@@ -148,9 +149,18 @@ class Table:
                      np.concatenate([r[0] for r in by_key]), np.concatenate([r[1] for r in by_key]))
 
 
+def _values(column: pa.Array) -> list:
+    """Lists of numbers as views of the batch's own numbers, and all else as Python values."""
+    if not pa.types.is_list(column.type) or not pa.types.is_integer(column.type.value_type):
+        return column.to_pylist()
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        yield from batch.to_pylist()
+        for row in zip(*map(_values, batch.columns)):
+            yield dict(zip(batch.schema.names, row))
 
 
 def _batches(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], size: int = 10_000):
@@ -169,11 +179,24 @@ def _nodes(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
 
 
 def _slice(row: dict, limit: int, cooldown: int) -> Slice:
-    return Slice(np.array(row["times"], np.int64), np.array(row["counts"], np.int64), limit, cooldown)
+    return Slice(row["times"], row["counts"], limit, cooldown)
+
+
+def _leaves(counted: DataFrame, leaf_times: int) -> DataFrame:
+    """(id, node, leaf): neighbouring slices of a device gathered into leaves of about `leaf_times` times.
+
+    A leaf holds less than `leaf_times` times before its last slice, so that it is bounded as slices are, and a
+    device with few events is one leaf. Only the sizes of slices are ordered across a device."""
+    sizes = counted.groupBy("id", "node").agg(F.count("*").alias("size"))
+    before = Window.partitionBy("id").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    leaf = F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / F.lit(leaf_times))
+    return sizes.select("id", "node", leaf.cast("bigint").alias("leaf"))
 
 
-def collection_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_ms: int) -> DataFrame:
-    """(id, eventtime) of every trigger. The slice length changes no result."""
+def collection_triggers(
+    events: DataFrame, limit: int, cooldown_ms: int, slice_ms: int, leaf_times: int = 4096
+) -> DataFrame:
+    """(id, eventtime) of every trigger. The lengths of slices and leaves change no result."""
     if cooldown_ms <= 0 or limit <= 0:
         raise ValueError("limit and cooldown must be positive")
     spread = slice_start(F.col("eventtime"), slice_ms) / F.lit(slice_ms)
@@ -181,7 +204,8 @@ def collection_triggers(events: DataFrame, limit: int, cooldown_ms: int, slice_m
     counted = events.select(F.col("id").cast("int").alias("id"), "eventtime").groupBy("id", "eventtime").agg(
         F.count("*").alias("n")).withColumn("node", spread.cast("bigint"))
     slices = materialize(
-        counted.groupBy("id", "node").agg(F.sort_array(F.collect_list(F.struct("eventtime", "n"))).alias("rows"))
+        counted.join(_leaves(counted, leaf_times), ["id", "node"]).drop("node").withColumnRenamed("leaf", "node")
+        .groupBy("id", "node").agg(F.sort_array(F.collect_list(F.struct("eventtime", "n"))).alias("rows"))
         .select("id", "node", F.col("rows.eventtime").alias("times"), F.col("rows.n").alias("counts")), "slices")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -154,9 +154,9 @@ def snapshot_windows(spark, sf_dir):
 # --- triggers and training sets ---------------------------------------------------------------
 
 
-def _triggers(spark, sf_dir, settings=REPLAY):
+def _triggers(spark, sf_dir, settings=REPLAY, **options):
     return trigger.collection_triggers(
-        _events(spark, sf_dir), settings.trigger_limit, settings.cooldown_ms, settings.slice_ms
+        _events(spark, sf_dir), settings.trigger_limit, settings.cooldown_ms, settings.slice_ms, **options
     )
 
 
@@ -167,8 +167,8 @@ def collection_triggers(spark, sf_dir):
 
 @query
 def collection_triggers_sliced(spark, sf_dir):
-    """Slices much shorter than the pause, so that pauses pass through many of them."""
-    return _triggers(spark, sf_dir, replace(REPLAY, slice_ms=6 * HOUR_MS))
+    """Slices much shorter than the pause, each a leaf, so that pauses pass through many of them."""
+    return _triggers(spark, sf_dir, replace(REPLAY, slice_ms=6 * HOUR_MS), leaf_times=1)
 
 
 def _history(spark, sf_dir):
