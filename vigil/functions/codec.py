@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.numeric import derived_value, event_timestamp, whole
+from vigil.functions.numeric import derived_value, event_timestamp, own_slice, whole
 from vigil.schemas import DEVICE_EVENT, RAW_MESSAGE
 
 
@@ -94,11 +94,12 @@ def message_triples(encoded: DataFrame, data: str = "data") -> DataFrame:
 
 
 def to_readings(events: DataFrame) -> DataFrame:
-    """The value write: (device_id, eventtime, whole value)."""
+    """The value write: (device_id, eventtime, whole value), and the slice of events that have one."""
     return events.select(
         F.col("id").alias("device_id"),
         "eventtime",
         whole(F.col("value")).cast("int").alias("value"),
+        *own_slice(events),
     )
 
 

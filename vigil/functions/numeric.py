@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The off-normal factor, and the marker that keeps the plain base.
@@ -24,6 +24,22 @@ def slice_start(time_ms: Column, width_ms: int) -> Column:
     return time_ms - F.pmod(time_ms, F.lit(width_ms))
 
 
+#: A column of this name, where a table has it, is the start of each row's time slice.
+SLICE = "_slice"
+
+
+def with_slice(rows: DataFrame, time: str, width_ms: int) -> DataFrame:
+    """`rows` with the start of their slice, unless they have it. Never null, so that joins add no null test of their
+    own to one of two equal scans; a shuffle can then serve both."""
+    if SLICE in rows.columns:
+        return rows
+    return rows.withColumn(SLICE, F.coalesce(slice_start(F.col(time), width_ms), F.lit(0).cast("bigint")))
+
+
+def own_slice(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c == SLICE]
+
+
 def event_timestamp(time_ms: Column) -> Column:
     return F.timestamp_millis(time_ms)
 

@@ -7,16 +7,10 @@ only per-slice summaries are ordered across a device.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.functions.numeric import slice_start
-
-
-def _slice(time: str, slice_ms: int) -> Column:
-    # Never null, so that joins add no null test of their own to one of two equal scans; the shuffle
-    # below can then serve both.
-    return F.coalesce(slice_start(F.col(time), slice_ms), F.lit(0).cast("bigint"))
+from vigil.functions.numeric import SLICE, with_slice
 
 
 def latest_rows(rows: DataFrame, key: str, time: str, limit: int, salts: int) -> DataFrame:
@@ -47,11 +41,12 @@ def history_before(
     which lie in at most two blocks of `limit` positions, so rows and cuts meet per (key, block),
     a group of at most `limit` rows.
     """
-    columns = [c for c in rows.columns if c not in (key, time)]
-    marked = rows.select(key, time, *columns, F.lit(1).alias("_w")).unionByName(
-        cuts.select(key, F.col(cut).alias(time)).distinct().withColumn("_w", F.lit(0)),
-        allowMissingColumns=True,
-    ).withColumn("_slice", _slice(time, slice_ms))
+    columns = [c for c in rows.columns if c not in (key, time, SLICE)]
+    wanted = with_slice(cuts.select(key, F.col(cut).alias(time)).distinct(), time, slice_ms)
+    if SLICE in rows.columns:  # rows that are laid out by slice stay where they are; the few cuts come to them
+        wanted = wanted.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key, SLICE)
+    marked = with_slice(rows, time, slice_ms).select(key, time, *columns, SLICE, F.lit(1).alias("_w")).unionByName(
+        wanted.withColumn("_w", F.lit(0)), allowMissingColumns=True)
 
     # Newest first, a cut before the row of its own millisecond: the running weight is then the
     # number of rows after the cut, or the row's own place counted from the end of the slice.
@@ -102,11 +97,8 @@ def as_of(
     from before. The left side meets them by an equi-join on (key, slice) and is never sorted whole.
     """
     columns = [c for c in right.columns if c not in (key, since)]
-    versions = right.select(
-        key, _slice(since, slice_ms).alias("_slice"),
-        F.struct(since, *columns).alias("_v"),
-    ).groupBy(key, "_slice").agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
-    rows = left.withColumn("_slice", _slice(time, slice_ms))
+    versions = with_slice(right, since, slice_ms).select(key, SLICE, F.struct(since, *columns).alias("_v")).groupBy(key, "_slice").agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
+    rows = with_slice(left, time, slice_ms)
     grid = (
         rows.select(key, "_slice").distinct()
         .join(versions, [key, "_slice"], "full_outer")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.numeric import centroid, chunk_number, event_timestamp, model_name, radius
+from vigil.functions.numeric import centroid, chunk_number, event_timestamp, model_name, own_slice, radius
 from vigil.operators.ordered import history_before, latest_rows
 from vigil.schemas import TRAINING_ROW
 
@@ -24,7 +24,7 @@ def history_at_triggers(
     readings: DataFrame, triggers: DataFrame, limit: int, chunk_rows: int, slice_ms: int
 ) -> DataFrame:
     """What `latest_history` would have read at the moment of each trigger."""
-    present = readings.filter(F.col("value").isNotNull()).select("device_id", "eventtime", "value")
+    present = readings.filter(F.col("value").isNotNull()).select("device_id", "eventtime", "value", *own_slice(readings))
     cuts = triggers.select(F.col("id").alias("device_id"), F.col("eventtime").alias("trained_at"))
     return history_before(
         present, cuts, "device_id", "eventtime", "trained_at", limit, slice_ms

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.functions.numeric import slice_start
+from vigil.functions.numeric import SLICE, own_slice, with_slice
 from vigil.session import materialize
 
 FAN = 8
@@ -183,14 +183,14 @@ def _slice(row: dict, limit: int, cooldown: int) -> Slice:
 
 
 def _leaves(counted: DataFrame, leaf_times: int) -> DataFrame:
-    """(id, node, leaf): neighbouring slices of a device gathered into leaves of about `leaf_times` times.
+    """(id, slice, node): neighbouring slices of a device gathered into leaves of about `leaf_times` times.
 
     A leaf holds less than `leaf_times` times before its last slice, so that it is bounded as slices are, and a
     device with few events is one leaf. Only the sizes of slices are ordered across a device."""
-    sizes = counted.groupBy("id", "node").agg(F.count("*").alias("size"))
-    before = Window.partitionBy("id").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = counted.groupBy("id", SLICE).agg(F.count("*").alias("size"))
+    before = Window.partitionBy("id").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     leaf = F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / F.lit(leaf_times))
-    return sizes.select("id", "node", leaf.cast("bigint").alias("leaf"))
+    return sizes.select("id", SLICE, leaf.cast("bigint").alias("node"))
 
 
 def collection_triggers(
@@ -199,12 +199,11 @@ def collection_triggers(
     """(id, eventtime) of every trigger. The lengths of slices and leaves change no result."""
     if cooldown_ms <= 0 or limit <= 0:
         raise ValueError("limit and cooldown must be positive")
-    spread = slice_start(F.col("eventtime"), slice_ms) / F.lit(slice_ms)
+    times = with_slice(events.select(F.col("id").cast("int").alias("id"), "eventtime", *own_slice(events)), "eventtime", slice_ms)
     # Events of one millisecond act as one row with a count, combined before the shuffle.
-    counted = events.select(F.col("id").cast("int").alias("id"), "eventtime").groupBy("id", "eventtime").agg(
-        F.count("*").alias("n")).withColumn("node", spread.cast("bigint"))
+    counted = times.groupBy("id", SLICE, "eventtime").agg(F.count("*").alias("n"))
     slices = materialize(
-        counted.join(_leaves(counted, leaf_times), ["id", "node"]).drop("node").withColumnRenamed("leaf", "node")
+        counted.join(_leaves(counted, leaf_times), ["id", SLICE])
         .groupBy("id", "node").agg(F.sort_array(F.collect_list(F.struct("eventtime", "n"))).alias("rows"))
         .select("id", "node", F.col("rows.eventtime").alias("times"), F.col("rows.n").alias("counts")), "slices")
 

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def merge_upsert(base: DataFrame, updates: list[DataFrame], keys: list[str]) -> DataFrame:
-    """`base` after the updates in turn; an update may carry any subset of the other columns.
+def merge_upsert(base: DataFrame | None, updates: list[DataFrame], keys: list[str]) -> DataFrame:
+    """`base`, or an empty table, after the updates in turn; an update may carry any subset of the other columns.
 
     A key that an update writes twice takes the greater value, whatever the row order.
     """
-    layers = [df.withColumn("_layer", F.lit(i)) for i, df in enumerate([base, *updates])]
+    layers = [df.withColumn("_layer", F.lit(i)) for i, df in enumerate(([] if base is None else [base]) + updates)]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layers)
 
     def newest(name):

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from vigil.config import Settings
 from vigil.functions.codec import decode_messages, to_distances, to_readings, with_event_time
+from vigil.functions.numeric import SLICE, own_slice, with_slice
 from vigil.operators.catalog import model_snapshots
 from vigil.operators.scoring import anomalies, score_as_of, to_alerts
 from vigil.operators.training import fit_models, history_at_triggers
 from vigil.operators.trigger import collection_triggers
 from vigil.operators.upsert import merge_upsert
-from vigil.session import materialize
+from vigil.session import materialize, materialize_by
 
 
 def save_and_timestamp_events(raw: DataFrame) -> DataFrame:
@@ -27,8 +28,7 @@ def save_and_timestamp_events(raw: DataFrame) -> DataFrame:
 def stored_readings(events: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """The readings table after the value writes of these events."""
     writes = to_readings(events)
-    base = writes.limit(0) if base is None else base
-    return merge_upsert(base, [writes], ["device_id", "eventtime"])
+    return merge_upsert(base, [writes], ["device_id", "eventtime", *own_slice(writes)])
 
 
 def count_and_collect_events(events: DataFrame, settings: Settings) -> DataFrame:
@@ -63,8 +63,9 @@ def save_distances(readings: DataFrame, scores: DataFrame) -> DataFrame:
 
 def alerts_from_messages(raw: DataFrame, settings: Settings, notified_at: Column | None = None) -> DataFrame:
     """The whole chain: decode, trigger, collect, train, refresh, score, alert."""
-    # Every later step reads a few columns of this; the text is parsed once.
-    events = materialize(decode_messages(raw), "events")
+    # The text is parsed once, and events are shuffled once: every later step works by device and slice.
+    sliced = with_slice(decode_messages(raw), "eventtime", settings.slice_ms)
+    events = materialize_by(sliced, ["id", SLICE], "events")
     versions = train_models(count_and_collect_events(events, settings))
     found = anomalies(calculate_distances(events, versions, settings), settings.threshold)
     return to_alerts(found, F.current_timestamp() if notified_at is None else notified_at)
