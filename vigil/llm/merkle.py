@@ -103,11 +103,15 @@ def tops(nodes: list[DataFrame], group: str) -> DataFrame:
     return found
 
 
-def _attached(nodes: DataFrame, above: DataFrame | None, ends: DataFrame, group: str, level: int) -> DataFrame:
+def _attached(nodes: DataFrame, above: DataFrame | None, ends: DataFrame | None, group: str, level: int) -> DataFrame:
     """The nodes of a level with their `path` to the root (the siblings' digests left and right of each step) and
-    their group's `subroot`: lone nodes take both from `ends`, others from the node `above` that contains them."""
+    their group's `subroot`: lone nodes take both from `ends`, others from the node `above` that contains them.
+    Without `ends` a lone node is the root of all."""
     alone = nodes.where(F.col("n") <= _width(level))
-    joined = alone.join(ends, F.col(group).eqNullSafe(F.col("end_group"))).drop("end_group")
+    if ends is None:
+        joined = alone.withColumns({"path": F.array().cast(_PATH), "subroot": F.lit(None).cast("string")})
+    else:
+        joined = alone.join(ends, F.col(group).eqNullSafe(F.col("end_group"))).drop("end_group")
     if above is None:
         return joined
     parent = above.select(
@@ -127,8 +131,9 @@ def _attached(nodes: DataFrame, above: DataFrame | None, ends: DataFrame, group:
     return joined.unionByName(found)
 
 
-def with_paths(nodes: list[DataFrame], ends: DataFrame, group: str) -> DataFrame:
-    """The leaves of `levels` with `path` and `subroot`. `ends`: end_group, path and subroot of each group's top."""
+def with_paths(nodes: list[DataFrame], ends: DataFrame | None, group: str) -> DataFrame:
+    """The leaves of `levels` with `path` and `subroot`. `ends`: end_group, path and subroot of each group's top,
+    or None where there is one group."""
     above = None
     for level in range(len(nodes) - 1, 0, -1):
         above = materialize(_attached(nodes[level], above, ends, group, level), f"attached-{level}")
@@ -170,10 +175,7 @@ def manifest(docs: DataFrame) -> DataFrame:
     above = levels(roots, "all")
     last = tops(above, "all").first()  # one row
     root = F.lit(last and last["digest"]).cast("string")
-    start = F.array().cast(_PATH)
-    ends = docs.sparkSession.range(1).select(
-        F.lit(0).alias("end_group"), start.alias("path"), F.lit(None).cast("string").alias("subroot"))
-    subroots = materialize(with_paths(above, ends, "all").select(
+    subroots = materialize(with_paths(above, None, "all").select(
         F.col("lang").alias("end_group"), "path", F.col("digest").alias("subroot")), "subroots")
 
     leaves = with_paths(by_lang, subroots, "lang")
