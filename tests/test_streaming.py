@@ -289,6 +289,18 @@ def test_late_events_survive_a_restart(spark, root, live):
     assert [r.reason for r in store.rejects.read(spark).collect()] == ["no message"]
 
 
+def test_two_queries_keep_rejects_once(spark, root, live):
+    store = jobs.Store.under(f"{root}/store", live)
+    messages = read_messages(spark, live)
+    drop(live, "a", [line(1, T0), "broken", line(2, T0 + 1)])
+    for start in (jobs.start_persisting, jobs.start_scoring):
+        start(messages, store, f"{root}/{start.__name__}", live, once=True).awaitTermination()
+    assert [bytes(r.data) for r in store.rejects.read(spark).collect()] == [b"broken"]
+    assert {(r.query, r.messages, r.events, r.rejects) for r in store.progress.read(spark).collect()} == {
+        ("persist", 3, 2, 1), ("scorer", 3, 2, 1)}
+    assert set(readings(store, spark).values()) == {(120, 0.0)}
+
+
 def test_append_and_line_sinks(spark, root, live):
     store = jobs.Store.under(f"{root}/store", live)
     rows = spark.createDataFrame([(1, 2, 3)], "device_id int, value int, eventtime long").select(

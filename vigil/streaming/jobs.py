@@ -181,13 +181,15 @@ def _late(watermark: int | None, length: str, lateness: str):
 
 class Intake:
     """The start of a micro-batch: every message is parsed once, counted on the way, and told apart as event, late
-    event of a stage, or reject."""
+    event of a stage, or reject. Where persisting and scoring are two queries, the first keeps the rejects and folds
+    what both write."""
 
     def __init__(self, store: Store, settings: Settings, writer: str, stages: Sequence[str]):
         self.store, self.writer, self.settings = store, writer, settings
         self.windows = {"persist": (settings.persist_window, settings.persist_lateness),
                         "score": (settings.score_window, settings.score_lateness)}
         self.stages = stages
+        self.first = "persist" in stages
         self.progress = Progress(store.progress, writer)
 
     def take(self, batch: DataFrame, batch_id: int, handle: Callable[[DataFrame], None]) -> None:
@@ -204,7 +206,8 @@ class Intake:
             F.max(F.when(F.col("reason").isNull(), F.col("eventtime"))).alias("last_eventtime"),
         ).persist()
         try:
-            self.store.rejects.append(rejects(parsed), "decoder", batch_id)
+            if self.first:
+                self.store.rejects.append(rejects(parsed), "decoder", batch_id)
             handle(parsed.filter(F.col("reason").isNull()).drop("data", "reason"))
             found = [
                 parsed.filter(c).select(
@@ -222,7 +225,8 @@ class Intake:
 
     def fold(self, spark: SparkSession, batch_id: int, *tables: BatchLog) -> None:
         if batch_id % self.settings.fold_batches == self.settings.fold_batches - 1:
-            for table in (self.store.rejects, self.store.late, self.store.progress, *tables):
+            shared = (self.store.rejects, self.store.late, self.store.progress) if self.first else ()
+            for table in (*shared, *tables):
                 table.fold(spark)
 
 
@@ -316,7 +320,7 @@ def start_training(
         finally:
             rows.unpersist()
         if batch_id % settings.fold_batches == settings.fold_batches - 1:
-            for table in (store.panes, store.triggers, store.training, store.models, store.versions):
+            for table in (store.panes, store.triggers, store.training, store.models, store.versions, store.lines):
                 table.fold(spark)
 
     return _start(found, handle, checkpoint, None if once else settings.training_trigger)
