@@ -3,7 +3,8 @@
 import random
 
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
-          "kept boolean, n_tokens bigint, key string, text_hash bigint, component_id bigint, node bigint, part int")
+          "kept boolean, n_tokens bigint, key string, text_hash bigint, component_id bigint, node bigint, part int, "
+          "`meta.url` string, __id int, __hash string, __score string, __gone int, `a``b` int")
 
 
 def words(seed, n, letters="abcdefgh"):
@@ -27,7 +28,7 @@ def rows():
         (14, " ".join(words(2, 30_000))), (15, "x" * 5000), (16, "\n\n" + base + "\n\nlast line"),
         (17, "Released under the MIT License.\nother"), (18, "Short one."),
     ]
-    return [(i, t, None if n % 5 == 0 else "en", None, None, True, -1, "k", 7, 8, 9, 1) for n, (i, t) in enumerate(texts)]
+    return [(i, t, None if n % 5 == 0 else "en", None, None, True, -1, "k", 7, 8, 9, 1, "u", n, "h", "s", 3, 4) for n, (i, t) in enumerate(texts)]
 
 
 def frame(spark):

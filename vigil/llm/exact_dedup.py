@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vigil.llm.names import any_names
 from vigil.session import materialize
 
 #: What `[\x20\x09-\x0D]` matches.
@@ -95,6 +96,7 @@ def exact_duplicates(docs: DataFrame, least: int = 1024, most: int = 8192) -> Da
     )
 
 
+@any_names
 def keep_one_of_equal(docs: DataFrame) -> DataFrame:
     """The rows of `docs` whose document stays, with all their columns; of repeated rows, one."""
     text = F.coalesce(F.col("text"), F.lit(""))

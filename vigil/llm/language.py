@@ -17,6 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from vigil.llm.memory import begin
+from vigil.llm.names import any_names
+
 UNKNOWN = "und"
 
 #: Stands for anything but letters; no letter, and not 0, so that n-grams of different lengths stay apart.
@@ -82,6 +85,7 @@ def profiles(docs: DataFrame, longest: int = 3, size: int = 300) -> DataFrame:
     (text, lang), place from 0; ties by the n-gram's number. Rows without text or lang teach nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language")
         for batch in batches:
             held: dict[str, list] = {}
             letters: dict[str, int] = {}
@@ -151,6 +155,7 @@ def predict(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language")
         for batch in batches:
             found = [shared.value.predict(t) for t in batch.column(len(keep)).to_pylist()]
             columns = [batch.column(i) for i in range(len(keep))]
@@ -174,6 +179,7 @@ def predict_documents(docs: DataFrame) -> DataFrame:
     return predict(marked, model, ("doc_id", "held_out"))
 
 
+@any_names
 def keep_identified(docs: DataFrame, least_score: float = 0.05) -> DataFrame:
     """The rows of `docs`, with all their columns, whose language is identified with at least `least_score`.
 

@@ -17,6 +17,7 @@ import random
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.llm.components import components
+from vigil.llm.names import any_names
 from vigil.session import materialize
 
 
@@ -137,6 +138,7 @@ def fuzzy_lines(docs: DataFrame, percent: int = 85, size: int = 8, bands: int =
         .alias("kept"))
 
 
+@any_names
 def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs`, with all their columns, their text without the lines that do not stay. Blank
     lines stay; a null text stays null."""

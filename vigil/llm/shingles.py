@@ -5,8 +5,11 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from vigil.llm.memory import remembers
+
 _KEEP = 1_000_000
 _words: dict[bytes, int] = {}
+remembers("shingles", _words.clear)
 _U64 = np.uint64
 
 
