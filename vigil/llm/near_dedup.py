@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.llm.components import components
+from vigil.llm.memory import begin
+from vigil.llm.names import any_names
 from vigil.llm.pieces import in_groups
 from vigil.llm.shingles import MinHash, shingle_set
 from vigil.session import materialize
@@ -34,6 +36,7 @@ SYMBOLS_A_CHUNK = 4
 def signatures(docs: DataFrame, shingle: int, chunks: int) -> DataFrame:
     """doc_id, text_hash, n_shingles, set_id (of the shingle set; null without words), signature."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("shingles")
         minhash = MinHash(chunks * SYMBOLS_A_CHUNK)
         for batch in batches:
             for first, group in in_groups(batch.column(2).to_pylist()):
@@ -162,8 +165,10 @@ def linked_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
         has = np.zeros((len(sets), width), np.float32)
         has[owners[a:b], column[a:b] - start] = 1
         common += has @ has.T
-    common = common.astype(np.int64)
-    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    linked = np.empty(common.shape, bool)
+    for start in range(0, len(sets), 256):  # a strip at a time, as wide numbers take eight times the room
+        both = common[start : start + 256].astype(np.int64)
+        linked[start : start + 256] = 100 * both >= percent * (sizes[start : start + 256, None] + sizes - both)
     edges, waiting = [], np.ones(len(sets), bool)
     for root in range(len(sets)):
         if waiting[root]:
@@ -178,14 +183,35 @@ def linked_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]
     return edges
 
 
+_BITMAP = 32_768  # fixed value: the bits that bitmap_construct_agg puts into one bitmap
+
+
+def _among(rows: DataFrame, keys: DataFrame, most_bits: int = 1 << 27) -> DataFrame:
+    """`rows` without most of those whose (doc_id, text_hash) is not in `keys`, before anything is shuffled.
+
+    The keys set bits of a bitmap that goes to all tasks: 64 bits for each key, and 16 MB at the most. Beyond two
+    million keys it lets more rows pass; none of the keys' own is ever lost."""
+    bits = 1 << min(most_bits.bit_length() - 1, max(15, (64 * keys.count()).bit_length()))
+    place = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(bits))
+    bitmaps = keys.select(place.alias("at")).groupBy(F.floor(F.col("at") / _BITMAP).alias("part")).agg(
+        F.bitmap_construct_agg(F.col("at") % _BITMAP).alias("bitmap"))
+    within = (F.col("at") % _BITMAP).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), F.floor(within / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.floor(byte / F.pow(F.lit(2), within % 8)) % 2
+    marked = rows.withColumn("at", place).withColumn("part", F.floor(F.col("at") / _BITMAP))
+    return marked.join(F.broadcast(bitmaps), "part").where(bit != 0).select(*rows.columns)
+
+
 def links(docs: DataFrame, table: DataFrame, work: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(u, v): links among the classes of each piece of work, enough to connect whatever is linked.
 
     The texts of the classes at work are shuffled once, then their sets go to the work that names them."""
     wanted = materialize(work, "work")
-    sources = wanted.select("node").distinct().join(table, "node").select("node", "set_id", "doc_id", "text_hash")
+    sources = materialize(wanted.select("node").distinct().join(table, "node").select(
+        "node", "set_id", "doc_id", "text_hash"), "sources")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("shingles")
         for batch in batches:
             for first, group in in_groups(batch.column(2).to_pylist()):
                 sets = [shingle_set(t, shingle) for t in group]
@@ -196,13 +222,14 @@ def links(docs: DataFrame, table: DataFrame, work: DataFrame, shingle: int, perc
                     "node": batch.column(0).slice(first, len(group)).take(pa.array(keep, pa.int64())),
                     "shingles": pa.array([sets[i].tobytes() for i in keep], pa.binary())})
 
-    rows = _rows(docs).alias("d")
+    rows = _among(_rows(docs), sources).alias("d")
     s = sources.alias("s")
     sets = rows.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
                      & (F.col("d.text_hash") == F.col("s.text_hash"))).select("s.node", "s.set_id", "d.text").mapInArrow(
         make, "node bigint, shingles binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("comparing")
         held: dict[int, np.ndarray] = {}
         current = None
 
@@ -257,6 +284,7 @@ def near_duplicates(
                         F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+@any_names
 def keep_one_of_near(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of `docs`, with all their columns, that stay: of linked documents that with the smallest
     doc_id, and every document without words. Of repeated rows all copies stay or go."""
