@@ -14,7 +14,6 @@ SF = "/root/testdata/sf0.01"
 
 def library():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -45,6 +44,7 @@ def test_stages(spark):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns
         assert 0 < out.count() < docs.count()
+        assert out.exceptAll(docs).count() == 0
         assert stage(spark, cases.empty(spark), SF).count() == 0
 
 

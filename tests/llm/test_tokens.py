@@ -27,7 +27,6 @@ def reference():
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -115,6 +114,20 @@ def test_token_files(spark, library):
     assert token_blocks.token_file_digests(cases.empty(spark), JSON).count() == 0
 
 
+def test_special_strings_are_taken_as_the_library_does(spark, library):
+    texts = ["see <|endoftext|> end", "a", "<|endoftext|>", "b <|endoftext|>\n<|endoftext|>c", "<|endoftext", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    digests = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_blocks.token_file_digests(docs, JSON).collect()}
+    start = 0
+    for i, text in enumerate(texts):
+        ids = as_bytes([*library(text), 2])
+        assert digests[i] == (start, len(ids) // 4, zlib.crc32(ids))
+        start += len(ids) // 4
+    assert 50256 in library(texts[0])
+    packed = {r.doc_id: r.ids_crc32 for r in packing.pack_documents(docs, JSON).collect()}
+    assert packed == {i: d[2] for i, d in digests.items()}
+
+
 def test_best_fit_takes_the_tightest_and_closes_the_fullest():
     bins = packing.OpenSequences(10, most_open=2)
     assert [bins.place(n) for n in (6, 7)] == [(0, 0), (1, 0)]

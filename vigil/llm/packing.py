@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from vigil.llm.memory import begin
 from vigil.llm.pieces import in_groups
 from vigil.llm.vocabularies import library_encoder
 
@@ -88,6 +89,7 @@ def pack_documents(
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pieces")
         encoder = library_encoder(path)
         sequences = OpenSequences(capacity, most_open, TaskContext.get().partitionId() << _TASK_BITS)
         waiting: list[tuple] = []

@@ -8,7 +8,7 @@ cut there, and equal pieces have equal ids.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 #: Where white space stands in longer runs, only a space before other characters begins a new token.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -29,16 +29,32 @@ class PieceEncoder:
 
     `encode` turns new pieces into their ids, as little-endian unsigned 32-bit integers. About `keep` pieces
     are remembered, in two generations: when the younger holds half of them, the older is forgotten. This
-    bounds memory and changes no result.
+    bounds memory and changes no result. Texts that hold a string of `undivided` are not cut, but given to `whole`.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], keep: int = 1_000_000):
+    def __init__(
+        self, encode: Callable[[list[str]], list[bytes]], keep: int = 1_000_000,
+        undivided: Sequence[str] = (), whole: Callable[[list[str]], list[bytes]] | None = None,
+    ):
         self.encode = encode
+        self.undivided = undivided
+        self.whole = whole
         self.half = keep // 2
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
     def texts(self, texts: list[str]) -> list[bytes]:
+        odd = [i for i, t in enumerate(texts) if any(s in t for s in self.undivided)]
+        if odd:
+            found = dict(zip(odd, self.whole([texts[i] for i in odd])))
+            rest = iter(self._cut([t for i, t in enumerate(texts) if i not in found]))
+            return [found[i] if i in found else next(rest) for i in range(len(texts))]
+        return self._cut(texts)
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
         pieces = [cut(t) for t in texts]
         if len(self.known) > self.half:
             self.known, self.older = {}, self.known

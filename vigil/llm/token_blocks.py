@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from vigil.llm.memory import begin
 from vigil.llm.pieces import in_groups
 from vigil.llm.vocabularies import library_encoder
 from vigil.session import materialize, new_folder
@@ -150,6 +151,7 @@ def write_token_frames(
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pieces")
         encoder = library_encoder(path)
         part, frame, start = TaskContext.get().partitionId(), 0, 0
         held_docs: list[int | None] = []

@@ -9,6 +9,7 @@ import string
 
 import numpy as np
 
+from vigil.llm.memory import remembers
 from vigil.llm.pieces import PieceEncoder
 
 
@@ -40,12 +41,13 @@ def _stem_and_marks(piece: str) -> tuple[str, str]:
 
 @functools.lru_cache(maxsize=4)
 def library_encoder(path: str) -> PieceEncoder:
-    """Ids by the tokenizers library without added special tokens; their strings in a text are ordinary text."""
+    """Ids by the tokenizers library without added special tokens. A text that holds the string of one is encoded
+    whole, as the library takes the string for the token wherever it stands."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def whole(pieces: list[str]) -> list[bytes]:
         # A piece that is white space, or ends with it, would join the line end behind it.
@@ -66,7 +68,13 @@ def library_encoder(path: str) -> PieceEncoder:
         parts.update(zip(new, whole(new)))
         return [parts[stem] + parts[marks] for stem, marks in cut]
 
-    return PieceEncoder(encode)
+    def library(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    encoder = PieceEncoder(encode, undivided=special, whole=library)
+    remembers("pieces", encoder.forget)
+    remembers("pieces", parts.clear)
+    return encoder
 
 
 @functools.lru_cache(maxsize=4)
