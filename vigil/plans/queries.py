@@ -500,20 +500,21 @@ def training_panes_stream(spark, sf_dir):
     with _conf(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
         running = found.writeStream.format("parquet").option("path", f"{folder}/rows").option(
             "checkpointLocation", f"{folder}/checkpoint").trigger(processingTime="500 milliseconds").start()
-        # With timers there is always a next batch. One that began after the delay, counted from the first without
-        # rows, has fired all panes.
-        _wait_for(running, lambda p: p["numInputRows"] == 0)
-        enough = time.time() + 1.5
-        _wait_for(running, lambda p: datetime.fromisoformat(p["timestamp"]).timestamp() > enough)
-        running.stop()
+        try:
+            # With timers there is always a next batch. One that began after the delay, counted from the first without
+            # rows, has fired all panes.
+            _wait_for(running, lambda p: p["numInputRows"] == 0)
+            enough = time.time() + 1.5
+            _wait_for(running, lambda p: datetime.fromisoformat(p["timestamp"]).timestamp() > enough)
+        finally:
+            running.stop()
     return spark.read.parquet(f"{folder}/rows").select("id", "eventtime", "firing", "window_start", "n")
 
 
-def _wait_for(running, holds, seconds: float = 120) -> None:
-    """Until the last batch of a live query is as asked."""
-    until = time.time() + seconds
+def _wait_for(running, holds) -> None:
+    """Until the last batch of a live query is as asked, however long its batches take; an error if the query ends."""
     while not (running.lastProgress and holds(running.lastProgress)):
-        if time.time() > until or not running.isActive:
+        if not running.isActive:
             raise RuntimeError(f"the query did not come so far: {running.exception()}")
         time.sleep(0.2)
 
