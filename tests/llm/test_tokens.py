@@ -173,3 +173,21 @@ def test_packing_of_the_table_is_tight(spark, library):
         rows = packing.pack_documents(docs, JSON, look_ahead=look_ahead).collect()
         sequences, tokens = check_packing(rows, texts, library, 1024)
         assert sequences <= (1 + waste) * tokens / 1024 + 1
+
+
+def test_each_distinct_piece_is_looked_up_once_a_group():
+    from vigil.llm.pieces import PieceEncoder
+
+    class Counted(dict):
+        looked = 0
+
+        def __getitem__(self, piece):
+            self.looked += 1
+            return super().__getitem__(piece)
+
+    encoder = PieceEncoder(lambda pieces: [p.encode() for p in pieces])
+    encoder.known = Counted()
+    texts = ["so it is " + "as it was " * 500 + "now", "", "  a\tb", "x\x00 y z", "é ß\n日"]
+    assert encoder.texts(texts) == [t.encode() for t in texts]
+    assert encoder.known.looked < 30
+    assert encoder.texts([]) == [] and encoder.texts([""]) == [b""]

@@ -10,18 +10,38 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Where white space stands in longer runs, only a space before other characters begins a new token.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _MARK = "\x00"
 
 
+#: White space besides the space and the line end.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+
+
+def _alone(text: str) -> bool:
+    """Whether all white space is single spaces and line ends between other characters."""
+    return not (not text or text[0].isspace() or text[-1].isspace() or "  " in text or "\n\n" in text
+                or " \n" in text or "\n " in text or any(c in text for c in _OTHER_SPACE))
+
+
+def _marked(text: str) -> str | None:
+    """`text` with a mark wherever it is cut; none where the text itself holds the mark."""
+    if _MARK in text:
+        return None
+    if _alone(text):
+        return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00")
+    return _MARK.join(_CUT.split(text))  # runs of white space, at an end, or of another kind
+
+
 def cut(text: str) -> list[str]:
     """The pieces of `text`; joined they give it back. An empty text has one empty piece."""
-    words = text.split()
-    space = len(text) - sum(map(len, words))
-    if space != len(words) - 1 or space != text.count(" ") + text.count("\n") or _MARK in text:
-        return _CUT.split(text)  # runs of white space, at an end, or of another kind
-    return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split(_MARK)
+    marked = _marked(text)
+    return _CUT.split(text) if marked is None else marked.split(_MARK)
 
 
 class PieceEncoder:
@@ -55,16 +75,32 @@ class PieceEncoder:
         return self._cut(texts)
 
     def _cut(self, texts: list[str]) -> list[bytes]:
-        pieces = [cut(t) for t in texts]
+        marked = [_marked(t) for t in texts]
+        if None in marked:
+            found = iter(self._joined([m for m in marked if m is not None]))
+            return [b"".join(self._ids(cut(t))) if m is None else next(found) for t, m in zip(texts, marked)]
+        return self._joined(marked)
+
+    def _joined(self, marked: list[str]) -> list[bytes]:
+        """The ids of each marked text; each distinct piece of them is looked up once."""
+        pieces = pc.split_pattern(pa.array(marked, pa.large_string()), _MARK)
+        coded = pieces.values.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
+        ids = pa.array(self._ids(distinct), pa.large_binary()).take(coded.indices)
+        _, ends, data = ids.buffers()
+        at = np.frombuffer(ends, np.int64)[pieces.offsets.to_numpy()].tolist()
+        held = memoryview(data or b"")
+        return [bytes(held[a:b]) for a, b in zip(at, at[1:])]
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
         if len(self.known) > self.half:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missing = set().union(*pieces).difference(known)
+        missing = set(pieces).difference(known)
         known.update((p, older[p]) for p in missing if p in older)
         new = list(missing.difference(known))
         known.update(zip(new, self.encode(new)))
-        find = known.__getitem__
-        return [b"".join(map(find, p)) for p in pieces]
+        return [known[p] for p in pieces]
 
 
 def in_groups(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import functools
 import os
-import string
 
 import numpy as np
 
@@ -29,16 +28,6 @@ def _by_lines(tokenizer, pieces: list[str], lines: int = 2000) -> list[bytes]:
     return out
 
 
-_MARKS = string.punctuation.replace("'", "")
-_KEEP_PARTS = 500_000
-
-
-def _stem_and_marks(piece: str) -> tuple[str, str]:
-    """A piece cut before the marks at its end, where a new token always begins after a letter or digit."""
-    stem = piece.rstrip(_MARKS)
-    return (stem, piece[len(stem):]) if stem and stem[-1].isalnum() else (piece, "")
-
-
 @functools.lru_cache(maxsize=4)
 def library_encoder(path: str) -> PieceEncoder:
     """Ids by the tokenizers library without added special tokens. A text that holds the string of one is encoded
@@ -49,31 +38,22 @@ def library_encoder(path: str) -> PieceEncoder:
     tokenizer = Tokenizer.from_file(path)
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
-    def whole(pieces: list[str]) -> list[bytes]:
+    def encode(pieces: list[str]) -> list[bytes]:
         # A piece that is white space, or ends with it, would join the line end behind it.
         plain = [p for p in pieces if p and "\n" not in p and not p[-1].isspace() and not p[1:2].isspace()]
-        ids = dict(zip(plain, _by_lines(tokenizer, plain)))
+        found = _by_lines(tokenizer, plain)
+        if len(plain) == len(pieces):
+            return found
+        ids = dict(zip(plain, found))
         other = [p for p in pieces if p not in ids]
-        for p, e in zip(other, tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            ids[p] = np.array(e.ids, "<u4").tobytes()
+        ids.update(zip(other, library(other)))
         return [ids[p] for p in pieces]
 
-    parts: dict[str, bytes] = {}
-
-    def encode(pieces: list[str]) -> list[bytes]:
-        cut = [_stem_and_marks(p) for p in pieces]
-        if len(parts) > _KEEP_PARTS:
-            parts.clear()
-        new = list(set().union(*cut).difference(parts))
-        parts.update(zip(new, whole(new)))
-        return [parts[stem] + parts[marks] for stem, marks in cut]
-
     def library(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    encoder = PieceEncoder(encode, undivided=special, whole=library)
+    encoder = PieceEncoder(encode, 1_500_000, special, library)
     remembers("pieces", encoder.forget)
-    remembers("pieces", parts.clear)
     return encoder
 
 
