@@ -138,6 +138,39 @@ def test_pairs_of_different_homes_are_found(spark):
     assert [tuple(r) for r in found] == [("2-4", 2)]
 
 
+def test_the_leads_of_a_flock_share_a_home(spark):
+    """Classes 2, 3 and 4 meet in a bucket, and each has a bucket of its own whose lead is 0, 1 or 2."""
+    shared = spark.createDataFrame([(1, 2, 0), (1, 0, 0), (2, 3, 1), (2, 1, 1), (3, 2, 2), (3, 3, 2), (3, 4, 2), (4, 7, 7), (4, 8, 7)],
+                                   "bucket bigint, node bigint, lead bigint")
+    homes = {r.node: r.home for r in near_dedup.nearest_homes(shared).collect()}
+    assert homes == {0: 0, 1: 1, 2: 0, 3: 0, 4: 0, 7: 7, 8: 7}
+
+
+def test_work_grows_as_a_flock_does(spark, monkeypatch):
+    """Each class is named by one piece of work, or few, however many leads its flock has."""
+    write, rows = near_dedup.materialize, []
+
+    def seen(df, name):
+        table = write(df, name)
+        if name == "work":
+            rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(near_dedup, "materialize", seen)
+    base = " ".join(cases.words(9, 150))
+    for size in (60, 120):
+        draw, texts = random.Random(7), set()
+        while len(texts) < size:
+            text = base
+            for _ in range(draw.randint(2, 6)):
+                text = cases.edited(text, draw.randrange(150), f"w{draw.randrange(1000)}")
+            texts.add(text)
+        pairs = list(enumerate(sorted(texts)))
+        docs = spark.createDataFrame(pairs, "doc_id bigint, text string")
+        assert near_rows(near_dedup.near_duplicates(docs)) == sorted(plain_near(pairs, 85), key=str)
+    assert rows[0] <= 90 and rows[1] <= 180
+
+
 def test_the_table_against_brute_force(spark):
     pairs = [(r.doc_id, r.text or "") for r in documents(spark).collect()]
     assert near_rows(near_dedup.near_duplicates(documents(spark), 80)) == sorted(plain_near(pairs, 80), key=str)

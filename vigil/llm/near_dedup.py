@@ -7,8 +7,8 @@ distance share a bucket. With 10 chunks and one error this holds up to 19 of 40
 0.85 differs in 6 on average and exceeds 19 about once in ten million times.
 
 Documents with equal sets are one class, and only classes are indexed. Pairs of a bucket are never listed
-where classes flock together: each class gets a home, the least class that it shares a bucket's lead with,
-and the classes of one home are compared in blocks of bounded size. Only pairs of different homes are joined
+where classes flock together: each class gets a home, the least lead of its buckets or of those that it shares a
+bucket with, and the classes of one home are compared in blocks of bounded size. Only pairs of different homes are joined
 one by one, under the signature distance. All comparisons use the full sets, recomputed from the texts of
 the classes that share a bucket, and give a spanning forest of the links, never all links of a block.
 """
@@ -105,6 +105,18 @@ def shared_buckets(table: DataFrame, chunks: int, errors: int) -> DataFrame:
     return materialize(entries.join(leads, "bucket"), "shared-buckets")
 
 
+def nearest_homes(shared: DataFrame) -> DataFrame:
+    """(node, home), as a written table: the least lead of a class's buckets and of its bucket mates' buckets.
+
+    By the first step alone a flock has as many homes as it has small leads, and its pairs across them grow with
+    its square; the second step joins these."""
+    own = materialize(shared.groupBy("node").agg(F.min("lead").alias("home")), "own-leads")
+    reached = materialize(
+        shared.join(own, "node").groupBy("bucket").agg(F.min("home").alias("home")), "bucket-homes")
+    return materialize(
+        shared.select("bucket", "node").join(reached, "bucket").groupBy("node").agg(F.min("home").alias("home")), "homes")
+
+
 def home_blocks(homes: DataFrame, table: DataFrame, block: int, block_shingles: int) -> DataFrame:
     """(work, node): for each home every pair of its blocks, with the classes of both.
 
@@ -205,28 +217,37 @@ def _among(rows: DataFrame, keys: DataFrame, most_bits: int = 1 << 27) -> DataFr
 def links(docs: DataFrame, table: DataFrame, work: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(u, v): links among the classes of each piece of work, enough to connect whatever is linked.
 
-    The texts of the classes at work are shuffled once, then their sets go to the work that names them."""
+    The texts of the classes at work are shuffled once, each to all the work that names it; then the sets go there."""
     wanted = materialize(work, "work")
     sources = materialize(wanted.select("node").distinct().join(table, "node").select(
         "node", "set_id", "doc_id", "text_hash"), "sources")
+    claims = materialize(wanted.join(sources, "node"), "claims")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("shingles")
+        text, found, own = None, b"", None
         for batch in batches:
-            for first, group in in_groups(batch.column(2).to_pylist()):
-                sets = [shingle_set(t, shingle) for t in group]
-                own = [_set_id(s) for s in sets]
-                wanted_ids = batch.column(1).slice(first, len(group)).to_pylist()
-                keep = [i for i in range(len(sets)) if own[i] == wanted_ids[i]]
+            for first, group in in_groups(batch.column(3).to_pylist()):
+                wanted_ids = batch.column(2).slice(first, len(group)).to_pylist()
+                keep, sets = [], []
+                for i, (row_text, wanted_id) in enumerate(zip(group, wanted_ids)):
+                    if row_text != text:  # the rows of a text for different work follow each other
+                        of_text = shingle_set(row_text, shingle)
+                        text, found, own = row_text, of_text.tobytes(), _set_id(of_text)
+                    if own == wanted_id:
+                        keep.append(i)
+                        sets.append(found)
+                kept = pa.array(keep, pa.int64())
                 yield pa.RecordBatch.from_pydict({
-                    "node": batch.column(0).slice(first, len(group)).take(pa.array(keep, pa.int64())),
-                    "shingles": pa.array([sets[i].tobytes() for i in keep], pa.binary())})
+                    "work": batch.column(0).slice(first, len(group)).take(kept),
+                    "node": batch.column(1).slice(first, len(group)).take(kept),
+                    "shingles": pa.array(sets, pa.binary())})
 
     rows = _among(_rows(docs), sources).alias("d")
-    s = sources.alias("s")
-    sets = rows.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
-                     & (F.col("d.text_hash") == F.col("s.text_hash"))).select("s.node", "s.set_id", "d.text").mapInArrow(
-        make, "node bigint, shingles binary")
+    c = claims.alias("c")
+    sets = rows.join(c, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_hash") == F.col("c.text_hash"))
+                     ).select("c.work", "c.node", "c.set_id", "d.text").mapInArrow(
+        make, "work string, node bigint, shingles binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("comparing")
@@ -249,8 +270,7 @@ def links(docs: DataFrame, table: DataFrame, work: DataFrame, shingle: int, perc
                 held[node.as_py()] = np.frombuffer(shingles.as_py(), np.uint64)  # a repeated row counts once
         yield from edges()
 
-    return (wanted.join(sets, "node").select("work", "node", "shingles")
-            .repartition("work").sortWithinPartitions("work").mapInArrow(compare, "u bigint, v bigint"))
+    return sets.repartition("work").sortWithinPartitions("work").mapInArrow(compare, "u bigint, v bigint")
 
 
 def near_duplicates(
@@ -268,7 +288,7 @@ def near_duplicates(
     signed = materialize(signatures(docs, shingle, chunks), "signatures")
     table = classes(signed)
     shared = shared_buckets(table, chunks, errors)
-    homes = materialize(shared.groupBy("node").agg(F.min("lead").alias("home")), "homes")
+    homes = nearest_homes(shared)
     work = home_blocks(homes, table, block, block_shingles).unionByName(
         cross_pairs(shared, homes, table, chunks, errors, percent))
     roots = components(links(docs, table, work, shingle, percent))
