@@ -330,6 +330,19 @@ def test_shingles_are_of_code_points(spark):
     assert got == [[text[i : i + 8] for i in range(len(text) - 7)], ["\U0001f600b"], ["12345678"]]
 
 
+def test_hashes_and_signatures_are_those_of_the_shingles(spark, monkeypatch):
+    """By a line's places: one hash for each shingle in order, and the keys are the same for every step, so that
+    the clamped places at the end of a line add none."""
+    text = "ab\U0001f600cd\U0001f601\n efghij 今天天气 and so on, one after another"
+    lines = [text, "\U0001f600b", "12345678", "123456789", "今天天气很好我们一起"]
+    frame = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "node bigint, line string")
+    got = frame.select("node", line_dedup.hashes(F.col("line"), 8).alias("h"),
+                       F.transform(line_dedup.shingles(F.col("line"), 8), lambda s: F.xxhash64(s)).alias("s"))
+    assert [(r.node, r.h) for r in got.collect()] == [(r.node, r.s) for r in got.collect()]
+    keys = [sorted((r.node, r["keys"]) for r in line_dedup.band_keys(frame, 8, 6, 3, step).collect()) for step in (2, 4, 8)]
+    assert len(keys[0]) == 5 and keys[0] == keys[1] == keys[2]
+
+
 def test_without_repeated_lines(spark):
     docs = spark.createDataFrame([(1, "One line here.\n\nTwo.", "a"), (2, "Two.\nNew words.", None), (3, None, "c")],
                                  "doc_id bigint, text string, line_no string")

@@ -35,20 +35,49 @@ def shingles(line: Column, size: int) -> Column:
         line, F.lit(rf"(?s)(?!\p{{Cs}})(?=(.{{{size}}}|\A.{{0,{size - 1}}}\z))"), F.lit(1))
 
 
+def placed(line: Column) -> Column:
+    """The line's bytes with the same width for each character, so that a shingle is found by its place."""
+    plain, wide = F.encode(line, "UTF-8"), F.encode(line, "UTF-32")
+    narrow = F.octet_length(plain) * 4 == F.octet_length(wide)
+    return F.struct(F.when(narrow, plain).otherwise(wide).alias("bytes"),
+                    F.when(narrow, F.lit(1)).otherwise(F.lit(4)).alias("width"))
+
+
+def shingle_hash(bytes: Column, width: Column, at: Column, size: int) -> Column:
+    """The hash of the shingle, as a string, that starts with character `at` (from 0) of a placed line."""
+    return F.when(width == 1, F.xxhash64(F.substring(bytes, at + 1, F.lit(size)))).otherwise(
+        F.xxhash64(F.decode(F.substring(bytes, at * 4 + 1, F.lit(4 * size)), "UTF-32")))
+
+
+def last_shingle(bytes: Column, width: Column, size: int) -> Column:
+    return F.greatest((F.octet_length(bytes) / width).cast("int") - size, F.lit(0))
+
+
 def hashes(line: Column, size: int) -> Column:
-    return F.transform(shingles(line, size), lambda s: F.xxhash64(s))
+    """The hashes of the `shingles` of a line."""
+    # As an array's only element the placed line is made once, not for each shingle.
+    return F.transform(F.array(placed(line)), lambda p: F.transform(
+        F.sequence(F.lit(0), last_shingle(p["bytes"], p["width"], size)),
+        lambda at: shingle_hash(p["bytes"], p["width"], at, size)))[0]
 
 
-def band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
+def band_keys(lines: DataFrame, size: int, bands: int, rows: int, step: int = 4) -> DataFrame:
     """(node, keys) for each distinct line: a key per band of its MinHash signature, as a written table.
 
-    A hash is permuted by flipping random bits; of its least value 24 bits are kept."""
+    A hash is permuted by flipping random bits; of its least value 24 bits are kept. A row holds the hashes of `step`
+    shingles, and the last one's again where a line has no more, so that the least of them are aggregated."""
     draw = random.Random(1)
     flips = [draw.getrandbits(64) - (1 << 63) for _ in range(bands * rows)]
-    least = [F.min(F.shiftrightunsigned(F.col("hash").bitwiseXOR(F.lit(x).cast("bigint")), 40)).alias(f"m{i}")
-             for i, x in enumerate(flips)]
-    signed = (lines.select("node", F.explode(shingles(F.col("line"), size)).alias("shingle"))
-              .select("node", F.xxhash64("shingle").alias("hash")).groupBy("node").agg(*least))
+    some = [f"h{i}" for i in range(step)]
+    least = [F.min(F.least(*[F.shiftrightunsigned(F.col(h).bitwiseXOR(F.lit(x).cast("bigint")), 40) for h in some]))
+             .alias(f"m{i}") for i, x in enumerate(flips)]
+    places = F.sequence(F.lit(0), last_shingle(F.col("bytes"), F.col("width"), size), F.lit(step))
+    signed = (lines.select("node", placed(F.col("line")).alias("placed")).select("node", "placed.bytes", "placed.width")
+              .select("node", "bytes", "width", F.explode(places).alias("at"))
+              .withColumn("last", last_shingle(F.col("bytes"), F.col("width"), size))
+              .select("node", *[shingle_hash(F.col("bytes"), F.col("width"), F.least(F.col("at") + i, F.col("last")), size)
+                                .alias(h) for i, h in enumerate(some)])
+              .groupBy("node").agg(*least))
     keys = [F.xxhash64(F.lit(b), *[f"m{b * rows + i}" for i in range(rows)]) for b in range(bands)]
     return materialize(signed.select("node", F.array(*keys).alias("keys")), "band-keys")
 
