@@ -28,8 +28,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents packed into sequences of at most 1024 tokens."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """The documents packed into sequences of at most 1024 tokens.
+
+    Fewer pieces are remembered than by default, as the executors still hold the memory of the stages before."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=400_000)
 
 
 STAGES = [("language", language), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("packing", pack)]

@@ -191,3 +191,54 @@ def test_each_distinct_piece_is_looked_up_once_a_group():
     assert encoder.texts(texts) == [t.encode() for t in texts]
     assert encoder.known.looked < 30
     assert encoder.texts([]) == [] and encoder.texts([""]) == [b""]
+
+
+def test_a_column_becomes_strings_in_steps():
+    import pyarrow as pa
+    from vigil.llm.pieces import in_groups
+
+    class Column:
+        largest = 0
+
+        def __init__(self, values):
+            self.values = values
+
+        def __len__(self):
+            return len(self.values)
+
+        def slice(self, at, n):
+            Column.largest = max(Column.largest, n)
+            return self.values.slice(at, n)
+
+    texts = [None if i % 7 == 0 else "ab" * (i % 50) for i in range(2000)] + ["x" * 5000]
+    runs = list(in_groups(Column(pa.array(texts)), chars=1000, rows=100))
+    assert Column.largest == 100
+    assert [t for _, run in runs for t in run] == [t or "" for t in texts]
+    assert [first for first, _ in runs] == np.cumsum([0] + [len(run) for _, run in runs])[:-1].tolist()
+    assert list(in_groups(pa.array([], pa.string()))) == []
+
+
+def test_packing_in_the_pipeline_remembers_few_pieces(monkeypatch):
+    import corpus_pipeline
+    import pyarrow as pa
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    made = []
+    monkeypatch.setattr(packing.F, "col", lambda name: cases)
+    monkeypatch.setattr(cases, "cast", lambda kind: None, raising=False)
+    monkeypatch.setattr(packing, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type(
+        "Now", (), {"partitionId": staticmethod(lambda: 0)}))}))
+    monkeypatch.setattr(packing, "library_encoder", lambda *a: made.append(library_encoder(*a)) or made[-1])
+    run = corpus_pipeline.pack(None, Docs(), "")
+    most = 0
+    for at in range(0, 700_000, 10_000):
+        text = " ".join(f"{n:x}q{n}" for n in range(at, at + 10_000))
+        assert sum(r.num_rows for r in run([pa.RecordBatch.from_pydict({"doc_id": [at], "text": [text]})])) > 1
+        most = max(most, len(made[-1].known) + len(made[-1].older))
+    assert 100_000 <= most <= 450_000

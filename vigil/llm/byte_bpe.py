@@ -160,8 +160,7 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for first, group in in_groups(texts):
+            for first, group in in_groups(batch.column(1)):
                 ids = encode_texts(group, path, pattern)
                 out = {"doc_id": batch.column(0).slice(first, len(group))}
                 if keep_ids:

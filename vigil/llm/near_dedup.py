@@ -39,7 +39,7 @@ def signatures(docs: DataFrame, shingle: int, chunks: int) -> DataFrame:
         begin("shingles")
         minhash = MinHash(chunks * SYMBOLS_A_CHUNK)
         for batch in batches:
-            for first, group in in_groups(batch.column(2).to_pylist()):
+            for first, group in in_groups(batch.column(2)):
                 sets = [shingle_set(t, shingle) for t in group]
                 rows = iter(minhash([s for s in sets if len(s)]).tolist())
                 yield pa.RecordBatch.from_pydict({
@@ -227,7 +227,7 @@ def links(docs: DataFrame, table: DataFrame, work: DataFrame, shingle: int, perc
         begin("shingles")
         text, found, own = None, b"", None
         for batch in batches:
-            for first, group in in_groups(batch.column(3).to_pylist()):
+            for first, group in in_groups(batch.column(3)):
                 wanted_ids = batch.column(2).slice(first, len(group)).to_pylist()
                 keep, sets = [], []
                 for i, (row_text, wanted_id) in enumerate(zip(group, wanted_ids)):

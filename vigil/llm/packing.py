@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from vigil.llm.memory import begin
+from vigil.llm.memory import begin, release
 from vigil.llm.pieces import in_groups
 from vigil.llm.vocabularies import library_encoder
 
@@ -75,7 +75,8 @@ def cut_lengths(tokens: int, capacity: int) -> list[int]:
 
 
 def pack_documents(
-    docs: DataFrame, path: str, end_id: int = 2, capacity: int = 1024, most_open: int = 4096, look_ahead: int = 20_000
+    docs: DataFrame, path: str, end_id: int = 2, capacity: int = 1024, most_open: int = 4096, look_ahead: int = 20_000,
+    keep: int = 1_500_000,
 ) -> DataFrame:
     """One row per piece of each row of `docs` (doc_id, text): doc_id, piece, start, length, ids_crc32,
     sequence_id, offset.
@@ -84,13 +85,14 @@ def pack_documents(
     alone. Documents of up to `capacity` tokens are never cut; longer ones are cut into pieces of `capacity`
     of which the first may be shorter. sequence_id is unique over all tasks; the pieces of a sequence lie
     side by side from offset 0. ids_crc32 covers the piece's ids as little-endian unsigned 32-bit integers.
-    A null doc_id and repeated rows are packed like any other row; other columns are not read.
+    A null doc_id and repeated rows are packed like any other row; other columns are not read. Each worker
+    remembers the ids of about `keep` pieces, at about 140 bytes each.
     """
-    end = end_id.to_bytes(4, "little")
+    end, owner = end_id.to_bytes(4, "little"), f"{keep} packed pieces"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("pieces")
-        encoder = library_encoder(path)
+        begin(owner)
+        encoder = library_encoder(path, owner, keep)
         sequences = OpenSequences(capacity, most_open, TaskContext.get().partitionId() << _TASK_BITS)
         waiting: list[tuple] = []
 
@@ -102,7 +104,7 @@ def pack_documents(
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, group in in_groups(batch.column(1).to_pylist()):
+            for first, group in in_groups(batch.column(1)):
                 for doc_id, ids in zip(doc_ids[first:], encoder.texts(group)):
                     ids += end
                     start = 0
@@ -112,6 +114,7 @@ def pack_documents(
                         start += length
                         if len(waiting) == look_ahead:
                             yield placed()
+            release()
         if waiting:
             yield placed()
 

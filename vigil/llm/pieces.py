@@ -103,12 +103,13 @@ class PieceEncoder:
         return [known[p] for p in pieces]
 
 
-def in_groups(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+def in_groups(texts: pa.Array, chars: int = 1_000_000, rows: int = 250) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about `chars` characters, each with the place of its first; null counts as empty.
 
-    One longer text makes a run of its own."""
+    One longer text makes a run of its own. The column becomes Python's strings `rows` at a time, never as a whole."""
     first, size, run = 0, 0, []
-    for i, text in enumerate(texts):
+    values = (t for at in range(0, len(texts), rows) for t in texts.slice(at, rows).to_pylist())
+    for i, text in enumerate(values):
         text = text or ""
         if run and size + len(text) > chars:
             yield first, run

@@ -167,7 +167,7 @@ def write_token_frames(
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, group in in_groups(batch.column(1).to_pylist()):
+            for first, group in in_groups(batch.column(1)):
                 for doc_id, ids in zip(doc_ids[first:], encoder.texts(group)):
                     held_docs.append(doc_id)
                     held.append(ids + end)

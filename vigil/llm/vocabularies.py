@@ -29,9 +29,9 @@ def _by_lines(tokenizer, pieces: list[str], lines: int = 2000) -> list[bytes]:
 
 
 @functools.lru_cache(maxsize=4)
-def library_encoder(path: str) -> PieceEncoder:
+def library_encoder(path: str, owner: str = "pieces", keep: int = 1_500_000) -> PieceEncoder:
     """Ids by the tokenizers library without added special tokens. A text that holds the string of one is encoded
-    whole, as the library takes the string for the token wherever it stands."""
+    whole, as the library takes the string for the token wherever it stands. `owner` remembers about `keep` pieces."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
@@ -52,8 +52,8 @@ def library_encoder(path: str) -> PieceEncoder:
     def library(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    encoder = PieceEncoder(encode, 1_500_000, special, library)
-    remembers("pieces", encoder.forget)
+    encoder = PieceEncoder(encode, keep, special, library)
+    remembers(owner, encoder.forget)
     return encoder
 
 
