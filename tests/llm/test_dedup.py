@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vigil.llm import exact_dedup, line_dedup, near_dedup, simhash
 from vigil.llm.components import components
 from vigil.llm.shingles import MinHash, shingle_set, words
+from vigil.session import materialize
 
 SF = "/root/testdata/sf0.01"
 
@@ -343,6 +344,48 @@ def test_hashes_and_signatures_are_those_of_the_shingles(spark, monkeypatch):
     assert len(keys[0]) == 5 and keys[0] == keys[1] == keys[2]
 
 
+def test_near_copies_of_a_bucket_are_not_paired_all_with_all(spark, monkeypatch):
+    """The lead is like none of them: rounds join 60 near copies by a few times 60 pairs, not by 1,770."""
+    base = " ".join(cases.words(3, 60))
+    lines = ["a lead that is unlike the others"] + [cases.edited(base, i, f"edit{i}") for i in range(60)] + [
+        " ".join(cases.words(200 + i, 20)) for i in range(3)]
+    texts = spark.createDataFrame(list(enumerate(lines)), "node bigint, line string")
+    shared = texts.select(F.lit(7).cast("bigint").alias("bucket"), "node", F.lit(0).cast("bigint").alias("lead"))
+    drawn = line_dedup.sketches(texts, 8)
+    written = []
+
+    def counting(df, name="step", folder=None):
+        table = materialize(df, name, folder)
+        written.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(line_dedup, "materialize", counting)
+    found = line_dedup.cross_links(shared, spark.createDataFrame([], "node bigint, root bigint"), drawn, texts, 8, 85)
+    groups = cases.Groups()
+    for links in found:
+        for u, v in links.collect():
+            groups.join(u, v)
+    assert len({groups.find(i) for i in range(1, 61)}) == 1
+    assert len({groups.find(i) for i in range(64)}) == 5
+    assert 59 <= sum(n for name, n in written if name == "crossing-pairs") <= 4 * 60
+
+
+def test_sketches_let_similar_sets_pass(spark):
+    """Of all pairs of lines, none that reaches the similarity is left out, and most others are."""
+    lines = sorted({line for _, text in cases.pairs() for line in text.split("\n") if line.strip()} | {
+        cases.edited(" ".join(cases.words(3, n)), i, "edit") for n in (20, 60) for i in range(6)})
+    texts = spark.createDataFrame(list(enumerate(lines)), "node bigint, line string")
+    drawn = line_dedup.sketches(texts, 8)
+    sizes = {r.node: r.n for r in drawn.collect()}
+    sets = {i: {t[j : j + 8] for j in range(max(len(t) - 8, 0) + 1)} for i, t in enumerate(lines)}
+    assert sizes == {i: len(s) for i, s in sets.items()}
+    pairs = [(i, j) for i in sets for j in sets if i < j]
+    near = {p for p in pairs if 100 * len(sets[p[0]] & sets[p[1]]) >= 85 * len(sets[p[0]] | sets[p[1]])}
+    got = {tuple(r) for r in line_dedup.near_enough(
+        spark.createDataFrame(pairs, "u bigint, v bigint"), drawn, 85).collect()}
+    assert near and near <= got and len(got) < len(near) + len(pairs) // 10
+
+
 def test_without_repeated_lines(spark):
     docs = spark.createDataFrame([(1, "One line here.\n\nTwo.", "a"), (2, "Two.\nNew words.", None), (3, None, "c")],
                                  "doc_id bigint, text string, line_no string")

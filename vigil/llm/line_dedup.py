@@ -3,9 +3,9 @@
 A line's character shingles are the `size` characters from each of its characters on, or the whole line where
 it is shorter. Its signature holds `bands` * `rows` MinHash values; lines that agree in a whole band share a bucket.
 Every class of a bucket is compared with the bucket's lead first, by the exact Jaccard similarity of their
-shingle sets. Only where the other classes of a bucket are then still in different components, those outside
-the largest one are compared with the others. Links are joined to components by distributed union-find, and of each
-component the first line stays.
+shingle sets. Where the other classes of a bucket are then still in different components, rounds follow: in each,
+some classes outside the largest component are compared with all others, and components are joined before the next.
+Links are joined to components by distributed union-find, and of each component the first line stays.
 
 Lines are told apart by their 64-bit hash, as shingles are.
 """
@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vigil.llm.components import components
 from vigil.llm.names import any_names
-from vigil.session import materialize
+from vigil.session import materialize, materialize_by
 
 
 def numbered_lines(docs: DataFrame) -> DataFrame:
@@ -37,9 +37,8 @@ def shingles(line: Column, size: int) -> Column:
 
 def placed(line: Column) -> Column:
     """The line's bytes with the same width for each character, so that a shingle is found by its place."""
-    plain, wide = F.encode(line, "UTF-8"), F.encode(line, "UTF-32")
-    narrow = F.octet_length(plain) * 4 == F.octet_length(wide)
-    return F.struct(F.when(narrow, plain).otherwise(wide).alias("bytes"),
+    narrow = F.octet_length(line) == F.char_length(line)
+    return F.struct(F.when(narrow, line.cast("binary")).otherwise(F.encode(line, "UTF-32")).alias("bytes"),
                     F.when(narrow, F.lit(1)).otherwise(F.lit(4)).alias("width"))
 
 
@@ -61,6 +60,16 @@ def hashes(line: Column, size: int) -> Column:
         lambda at: shingle_hash(p["bytes"], p["width"], at, size)))[0]
 
 
+def placed_hashes(lines: DataFrame, size: int, step: int) -> DataFrame:
+    """node and the hashes h0, h1, ... of `step` neighbouring shingles a row; a line's last one fills its last row."""
+    places = F.sequence(F.lit(0), last_shingle(F.col("bytes"), F.col("width"), size), F.lit(step))
+    return (lines.select("node", placed(F.col("line")).alias("placed")).select("node", "placed.bytes", "placed.width")
+            .select("node", "bytes", "width", F.explode(places).alias("at"))
+            .withColumn("last", last_shingle(F.col("bytes"), F.col("width"), size))
+            .select("node", *[shingle_hash(F.col("bytes"), F.col("width"), F.least(F.col("at") + i, F.col("last")), size)
+                              .alias(f"h{i}") for i in range(step)]))
+
+
 def band_keys(lines: DataFrame, size: int, bands: int, rows: int, step: int = 4) -> DataFrame:
     """(node, keys) for each distinct line: a key per band of its MinHash signature, as a written table.
 
@@ -69,15 +78,13 @@ def band_keys(lines: DataFrame, size: int, bands: int, rows: int, step: int = 4)
     draw = random.Random(1)
     flips = [draw.getrandbits(64) - (1 << 63) for _ in range(bands * rows)]
     some = [f"h{i}" for i in range(step)]
-    least = [F.min(F.least(*[F.shiftrightunsigned(F.col(h).bitwiseXOR(F.lit(x).cast("bigint")), 40) for h in some]))
-             .alias(f"m{i}") for i, x in enumerate(flips)]
-    places = F.sequence(F.lit(0), last_shingle(F.col("bytes"), F.col("width"), size), F.lit(step))
-    signed = (lines.select("node", placed(F.col("line")).alias("placed")).select("node", "placed.bytes", "placed.width")
-              .select("node", "bytes", "width", F.explode(places).alias("at"))
-              .withColumn("last", last_shingle(F.col("bytes"), F.col("width"), size))
-              .select("node", *[shingle_hash(F.col("bytes"), F.col("width"), F.least(F.col("at") + i, F.col("last")), size)
-                                .alias(h) for i, h in enumerate(some)])
-              .groupBy("node").agg(*least))
+    # With the sign flipped too, the order of signed numbers is that of unsigned ones.
+    sign = -(1 << 63)
+    least = [F.min(F.least(*[F.col(h).bitwiseXOR(F.lit(x ^ sign).cast("bigint")) for h in some])).alias(f"m{i}")
+             for i, x in enumerate(flips)]
+    signed = placed_hashes(lines, size, step).groupBy("node").agg(*least).select(
+        "node", *[F.shiftrightunsigned(F.col(f"m{i}").bitwiseXOR(F.lit(sign).cast("bigint")), 40).alias(f"m{i}")
+                  for i in range(bands * rows)])
     keys = [F.xxhash64(F.lit(b), *[f"m{b * rows + i}" for i in range(rows)]) for b in range(bands)]
     return materialize(signed.select("node", F.array(*keys).alias("keys")), "band-keys")
 
@@ -90,38 +97,92 @@ def jaccard_at_least(a: Column, b: Column, n: str, m: str, percent: int) -> Colu
         F.size(F.array_intersect(a, b)) * (100 + percent) >= (n + m) * percent)
 
 
-def star_pairs(shared: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(u, v): links of the classes of a bucket to its lead."""
-    pairs = materialize(shared.where("node <> lead").select("node", "lead").distinct(), "star-pairs")
-    own = texts.toDF("node", "own", "own_n")
-    led = texts.toDF("lead", "led", "led_n")
-    return pairs.join(own, "node").join(led, "lead").where(jaccard_at_least(
-        hashes(F.col("own"), size), hashes(F.col("led"), size), "own_n", "led_n", percent)).select(
-        F.col("node").alias("u"), F.col("lead").alias("v"))
-
-
-def cross_pairs(shared: DataFrame, roots: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(u, v): components of the stars that a link between two classes of one bucket joins, by their roots.
-
-    Leads are left out, as the stars compare them with every class of their bucket. Links of a class to many
-    of another component are one row, before they are shuffled."""
-    placed = materialize(shared.where("node <> lead").join(roots, "node", "left").select(
-        "bucket", "node", F.coalesce("root", "node").alias("root")), "placed-lines")
-    major = materialize(
-        placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-        .groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("major"), F.count("*").alias("roots"))
-        .where("roots > 1").select("bucket", "major"), "mixed-buckets")
-    mixed = materialize(placed.join(major, "bucket").join(texts, "node").select(
-        "bucket", "node", "root", "major", "n", hashes(F.col("line"), size).alias("shingles")), "mixed-lines")
-    left = mixed.where("root <> major").select(
-        "bucket", F.col("node").alias("u"), F.col("root").alias("u_root"), F.col("n").alias("u_n"),
-        F.col("shingles").alias("u_shingles"))
-    right = mixed.select("bucket", "major", F.col("node").alias("v"), F.col("root").alias("v_root"),
-                         F.col("n").alias("v_n"), F.col("shingles").alias("v_shingles"))
-    once = (F.col("v_root") == F.col("major")) | (F.col("u") < F.col("v"))
-    return left.join(right, (left["bucket"] == right["bucket"]) & (F.col("u_root") != F.col("v_root")) & once
-                     & jaccard_at_least(F.col("u_shingles"), F.col("v_shingles"), "u_n", "v_n", percent)).select(
-        F.greatest("u_root", "v_root").alias("u"), F.least("u_root", "v_root").alias("v")).distinct()
+#: Words of a sketch, each of 64 bits.
+WORDS = 8
+
+
+def sketches(texts: DataFrame, size: int) -> DataFrame:
+    """(node, n, sketch) for each line: the size of its shingle set, and a bit for each of 64 * `WORDS` remainders of
+    their hashes, set where an odd number of the set has it."""
+    each = texts.select("node", F.explode(F.array_distinct(hashes(F.col("line"), size))).alias("h"))
+    bit, word = F.expr("shiftleft(1L, cast(h & 63 as int))"), F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(WORDS - 1))
+    words = [F.bit_xor(F.when(word == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"s{w}") for w in range(WORDS)]
+    return each.groupBy("node").agg(F.count("*").alias("n"), *words).select(
+        "node", "n", F.struct(*[f"s{w}" for w in range(WORDS)]).alias("sketch"))
+
+
+def may_reach(a: str, b: str, n: str, m: str, percent: int) -> Column:
+    """False only for sets that cannot reach the similarity, by their sketches and sizes: every bit in which the
+    sketches differ needs a shingle that only one of the sets holds."""
+    differing = sum(F.bit_count(F.col(a)[f"s{w}"].bitwiseXOR(F.col(b)[f"s{w}"])) for w in range(WORDS))
+    n, m = F.col(n), F.col(m)
+    # intersection * 100 >= union * percent, written by the number of shingles that one set alone holds
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (
+        differing * (100 + percent) <= (n + m) * (100 - percent))
+
+
+def confirmed(pairs: DataFrame, sizes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The rows of `pairs` (u, v and more) whose shingle sets reach the similarity."""
+    lines = texts.join(sizes.select("node", "n"), "node")
+    return pairs.join(lines.toDF("u", "u_line", "u_n"), "u").join(lines.toDF("v", "v_line", "v_n"), "v").where(
+        jaccard_at_least(hashes(F.col("u_line"), size), hashes(F.col("v_line"), size), "u_n", "v_n", percent)).select(
+        pairs.columns)
+
+
+def star_pairs(shared: DataFrame) -> DataFrame:
+    """(u, v): classes of a bucket and its lead."""
+    return shared.where("node <> lead").select(F.col("node").alias("u"), F.col("lead").alias("v")).distinct()
+
+
+def near_enough(pairs: DataFrame, drawn: DataFrame, percent: int) -> DataFrame:
+    """The rows of `pairs` (u, v) that may reach the similarity by the sketches `drawn`."""
+    return (pairs.join(drawn.toDF("u", "u_n", "u_sketch"), "u").join(drawn.toDF("v", "v_n", "v_sketch"), "v")
+            .where(may_reach("u_sketch", "v_sketch", "u_n", "v_n", percent)).select("u", "v"))
+
+
+def mixed_buckets(placed: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """Of the rows of buckets (bucket, node, root and more) those of buckets with several roots, and of each such
+    bucket a class (bucket, u, u_root) of each of up to `pivots` roots besides the most frequent one."""
+    order = Window.partitionBy("bucket").orderBy(F.col("n").desc(), F.col("root").desc())
+    picked = materialize(
+        placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("node").alias("u"))
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= pivots + 1).where("rank > 1")
+        .select("bucket", "u", F.col("root").alias("u_root")), "pivots")
+    return placed.join(picked.select("bucket").distinct(), "bucket", "left_semi"), picked
+
+
+def cross_links(
+    shared: DataFrame, roots: DataFrame, drawn: DataFrame, texts: DataFrame, size: int, percent: int
+) -> list[DataFrame]:
+    """(u, v) tables: components of the stars that a link between two classes of one bucket joins, by their roots.
+
+    Leads are left out, as the stars compare them with every class of their bucket. A round compares some classes
+    of each bucket, twice as many as the last one did, with all of its classes in other components, joins
+    components, and leaves those classes out. It ends where all that is left of each bucket is one component:
+    then every two of its classes have been compared or are connected. A group of near copies is joined by
+    its first rounds, so that their links are a few times its size, not its square."""
+    rows = shared.where("node <> lead").select("bucket", "node").join(roots, "node", "left").select(
+        "bucket", "node", F.coalesce("root", "node").alias("root"))
+    rows, picked = mixed_buckets(materialize(rows, "placed-lines"), 1)
+    rows = materialize(rows.join(drawn, "node").select("bucket", "node", "root", "n", "sketch"), "mixed-lines")
+    found, pivots = [], 1
+    while not picked.isEmpty():
+        left = picked.join(rows.select("bucket", F.col("node").alias("u"), F.col("n").alias("u_n"),
+                                       F.col("sketch").alias("u_sketch")), ["bucket", "u"])
+        pairs = materialize(left.join(rows, "bucket").where(
+            (F.col("u_root") != F.col("root")) & may_reach("u_sketch", "sketch", "u_n", "n", percent)).select(
+            F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"),
+            F.least("u_root", "root").alias("v_root"), F.greatest("u_root", "root").alias("u_root")).distinct(),
+            "crossing-pairs")
+        links = materialize(confirmed(pairs, drawn, texts, size, percent).select(
+            F.col("u_root").alias("u"), F.col("v_root").alias("v")).distinct(), "crossing-links")
+        found.append(links)
+        moved = components(links).select(F.col("node").alias("root"), F.col("root").alias("to"))
+        rest = rows.join(picked.select("bucket", F.col("u").alias("node")), ["bucket", "node"], "left_anti")
+        pivots *= 2
+        rows, picked = mixed_buckets(materialize(rest.join(moved, "root", "left").select(
+            "bucket", "node", F.coalesce("to", "root").alias("root"), "n", "sketch"), "mixed-lines"), pivots)
+    return found
 
 
 def fuzzy_lines(docs: DataFrame, percent: int = 85, size: int = 8, bands: int = 6, rows: int = 3) -> DataFrame:
@@ -137,19 +198,22 @@ def fuzzy_lines(docs: DataFrame, percent: int = 85, size: int = 8, bands: int =
     """
     lines = numbered_lines(docs)
     occurrences = materialize(lines.select("doc_id", "line_no", "node"), "line-occurrences")
-    keys = band_keys(lines, size, bands, rows)
+    texts = materialize_by(lines.select("node", "line").repartition("node").distinct(), ["node"], "distinct-lines")
+    keys = band_keys(texts, size, bands, rows)
     entries = keys.select("node", F.explode("keys").alias("bucket"))
     leads = materialize(
         entries.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("n"))
         .where("n > 1").select("bucket", "lead"), "line-leads")
     shared = materialize(entries.join(leads, "bucket"), "shared-lines")
     wanted = materialize(shared.select("node").distinct(), "compared-lines")
-    texts = materialize(
-        lines.select("node", "line").join(wanted, "node").groupBy("node").agg(F.max("line").alias("line"))
-        .select("node", "line", F.size(F.array_distinct(hashes(F.col("line"), size))).alias("n")), "compared-texts")
-    stars = materialize(star_pairs(shared, texts, size, percent), "star-links")
-    crossing = cross_pairs(shared, components(stars), texts, size, percent)
-    roots = components(stars.unionByName(crossing))
+    compared = materialize(texts.join(wanted, "node"), "compared-texts")
+    drawn = materialize(sketches(compared, size), "line-sketches")
+    near = materialize(near_enough(star_pairs(shared), drawn, percent), "star-pairs")
+    stars = materialize(confirmed(near, drawn, compared, size, percent), "star-links")
+    roots = components(stars)
+    for links in cross_links(shared, roots, drawn, compared, size, percent):
+        stars = stars.unionByName(links)
+    roots = components(stars)
     grouped = materialize(occurrences.join(roots, "node", "left").select(
         "doc_id", "line_no", F.coalesce("root", "node").alias("root")), "line-groups")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
