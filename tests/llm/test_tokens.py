@@ -84,6 +84,16 @@ def test_encode_documents(spark, reference):
     assert byte_bpe.encode_documents(cases.empty(spark), RANKS).count() == 0
 
 
+@pytest.mark.parametrize("width", [1, 3, 7, 8, 13, 15, 16, 17, 32])
+def test_bits_are_packed_least_first(width):
+    draw = np.random.default_rng(width)
+    values = draw.integers(0, 2**width, (5, 64), dtype=np.uint64).astype(np.uint32)
+    bits = (values[:, :, None] >> np.arange(width, dtype=np.uint32)) & 1
+    packed = token_blocks.pack_bits(values, width)
+    assert (packed == np.packbits(bits.astype(np.uint8).reshape(5, -1), axis=1, bitorder="little")).all()
+    assert (token_blocks.unpack_bits(packed, width) == values).all()
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 50257) | st.integers(0, 2**32 - 1), max_size=1500), st.sampled_from([0.5, 0.9, 1.0]))
 def test_frames_give_back_any_ids(ids, percentile):

@@ -36,6 +36,44 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return np.frexp(values.astype(np.float64))[1]
 
 
+def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """The bytes of each row of values of `width` bits, least bits first; a row holds a multiple of 8 values."""
+    if width > 16:
+        bits = (values[:, :, None] >> np.arange(width, dtype=np.uint32)) & 1
+        return np.packbits(bits.astype(np.uint8).reshape(len(values), -1), axis=1, bitorder="little")
+    # 8 values are `width` bytes: four of them in each half of 128 bits, then moved together.
+    eight = values.reshape(-1, 8)
+    halves = np.zeros((len(eight), 2), "<u8")
+    for i in range(4):
+        halves[:, 0] |= eight[:, i].astype(np.uint64) << np.uint64(i * width)
+        halves[:, 1] |= eight[:, 4 + i].astype(np.uint64) << np.uint64(i * width)
+    if width < 16:
+        half = np.uint64(4 * width)
+        halves[:, 0] |= halves[:, 1] << half
+        halves[:, 1] >>= np.uint64(64) - half
+    return halves.view(np.uint8).reshape(-1, 16)[:, :width].reshape(len(values), -1)
+
+
+def unpack_bits(data: np.ndarray, width: int) -> np.ndarray:
+    """The values that `pack_bits` made rows of bytes of."""
+    if width > 16:
+        bits = np.unpackbits(data, axis=1, bitorder="little").reshape(len(data), -1, width)
+        return bits @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+    eight = np.zeros((data.size // width, 16), np.uint8)
+    eight[:, :width] = data.reshape(-1, width)
+    halves = eight.view("<u8")
+    low, high = halves[:, 0], halves[:, 1]
+    if width < 16:
+        half = np.uint64(4 * width)
+        high = (low >> half) | (high << (np.uint64(64) - half))
+    mask = np.uint64(2**width - 1)
+    values = np.empty((len(eight), 8), np.uint32)
+    for i in range(4):
+        values[:, i] = (low >> np.uint64(i * width)) & mask
+        values[:, 4 + i] = (high >> np.uint64(i * width)) & mask
+    return values.reshape(len(data), -1)
+
+
 def pack_blocks(ids: np.ndarray, block: int = BLOCK, percentile: float = 0.9) -> list[bytes]:
     """The block arrays (offsets, least, exceptions, widths) and the body of some ids."""
     n = -(-len(ids) // block)
@@ -44,10 +82,10 @@ def pack_blocks(ids: np.ndarray, block: int = BLOCK, percentile: float = 0.9) ->
     table = padded.reshape(n, block)
     least = table.min(axis=1) if n else np.empty(0, np.uint32)
     over = table - least[:, None]
-    needed = _bits(over)
     place = min(block - 1, int(np.ceil(percentile * block)) - 1)
-    widths = np.partition(needed, place, axis=1)[:, place] if n else np.empty(0, np.int64)
-    outlier = needed > widths[:, None]
+    # A greater value never needs fewer bits, so that the percentile of the values gives that of their bits.
+    widths = _bits(np.partition(over, place, axis=1)[:, place]) if n else np.empty(0, np.int64)
+    outlier = over > (np.uint64(1) << widths.astype(np.uint64))[:, None] - np.uint64(1)
     exceptions = outlier.sum(axis=1)
     packed = widths * block // 8
     sizes = packed + 6 * exceptions
@@ -56,8 +94,7 @@ def pack_blocks(ids: np.ndarray, block: int = BLOCK, percentile: float = 0.9) ->
     for width in np.unique(widths[widths > 0]).tolist():
         at = np.flatnonzero(widths == width)
         low = over[at] & np.uint32(2**width - 1)
-        bits = (low[:, :, None] >> np.arange(width, dtype=np.uint32)) & 1
-        data = np.packbits(bits.astype(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
+        data = pack_bits(low, width)
         body[offsets[at][:, None] + np.arange(data.shape[1])] = data
     row, column = np.nonzero(outlier)
     if len(row):
@@ -116,8 +153,7 @@ class Frame:
         for width in np.unique(widths[widths > 0]).tolist():
             at = np.flatnonzero(widths == width)
             data = self.body[offsets[at][:, None] + np.arange(width * self.block // 8)]
-            bits = np.unpackbits(data, axis=1, bitorder="little").reshape(len(at), self.block, width)
-            out[at] = bits @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+            out[at] = unpack_bits(data, width)
         number = self.exceptions[first:last]
         row = np.repeat(np.arange(last - first), number)
         if len(row):
