@@ -159,8 +159,8 @@ def cross_links(
     Leads are left out, as the stars compare them with every class of their bucket. A round compares some classes
     of each bucket, twice as many as the last one did, with all of its classes in other components, joins
     components, and leaves those classes out. It ends where all that is left of each bucket is one component:
-    then every two of its classes have been compared or are connected. A group of near copies is joined by
-    its first rounds, so that their links are a few times its size, not its square."""
+    then every two of its classes have been compared or are connected. A group of near copies whose
+    classes are mostly linked is joined by its first rounds. Where classes stay apart, all their pairs are met, once."""
     rows = shared.where("node <> lead").select("bucket", "node").join(roots, "node", "left").select(
         "bucket", "node", F.coalesce("root", "node").alias("root"))
     rows, picked = mixed_buckets(materialize(rows, "placed-lines"), 1)
