@@ -370,6 +370,39 @@ def test_near_copies_of_a_bucket_are_not_paired_all_with_all(spark, monkeypatch)
     assert 59 <= sum(n for name, n in written if name == "crossing-pairs") <= 4 * 60
 
 
+def test_rounds_do_not_grow_with_a_bucket(spark, monkeypatch):
+    """Of 100 classes only four are near copies, none of them among those that lead the bucket first."""
+    lines = ["a lead that is unlike the others"] + [" ".join(cases.words(300 + i, 12)) for i in range(100)]
+    for a, b in ((40, 90), (95, 99)):
+        lines[b] = cases.edited(" ".join(cases.words(a, 40)), 3, "edit")
+        lines[a] = " ".join(cases.words(a, 40))
+    texts = spark.createDataFrame(list(enumerate(lines)), "node bigint, line string")
+    shared = texts.select(F.lit(7).cast("bigint").alias("bucket"), "node", F.lit(0).cast("bigint").alias("lead"))
+    written = []
+
+    def noting(df, name="step", folder=None):
+        written.append(name)
+        return materialize(df, name, folder)
+
+    monkeypatch.setattr(line_dedup, "materialize", noting)
+    found = line_dedup.cross_links(
+        shared, spark.createDataFrame([], "node bigint, root bigint"), line_dedup.sketches(texts, 8), texts, 8, 85)
+    assert sorted(tuple(r) for links in found for r in links.collect()) == [(90, 40), (99, 95)]
+    assert written.count("crossing-pairs") <= 3
+
+
+def test_a_byte_order_mark_is_a_character(spark):
+    """Also where a shingle or a piece of a line begins with it."""
+    lines = ["\ufeff" + "é" * 20 + "\ufeffab", "é" * line_dedup.PIECE + "\ufeffand what follows it", "\ufeffshort"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "node bigint, line string")
+    for r in frame.select(line_dedup.hashes(F.col("line"), 8).alias("h"),
+                          F.transform(line_dedup.shingles(F.col("line"), 8), lambda s: F.xxhash64(s)).alias("s")).collect():
+        assert r.h == r.s
+    placed = line_dedup.placed_hashes(frame, 8, 1).groupBy("node").agg(F.collect_set("h0").alias("h"))
+    whole = frame.select("node", F.array_distinct(line_dedup.hashes(F.col("line"), 8)).alias("h"))
+    assert {(r.node, frozenset(r.h)) for r in placed.collect()} == {(r.node, frozenset(r.h)) for r in whole.collect()}
+
+
 def test_sketches_let_similar_sets_pass(spark):
     """Of all pairs of lines, none that reaches the similarity is left out, and most others are."""
     lines = sorted({line for _, text in cases.pairs() for line in text.split("\n") if line.strip()} | {

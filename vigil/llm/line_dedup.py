@@ -3,8 +3,8 @@
 A line's character shingles are the `size` characters from each of its characters on, or the whole line where
 it is shorter. Its signature holds `bands` * `rows` MinHash values; lines that agree in a whole band share a bucket.
 Every class of a bucket is compared with the bucket's lead first, by the exact Jaccard similarity of their
-shingle sets. Where the other classes of a bucket are then still in different components, rounds follow: in each,
-some classes outside the largest component are compared with all others, and components are joined before the next.
+shingle sets. Where the other classes of a bucket are then still in different components, more of them lead it, in two
+rounds with components joined after each; then all that are still in different components are compared.
 Links are joined to components by distributed union-find, and of each component the first line stays.
 
 Lines are told apart by their 64-bit hash, as shingles are.
@@ -12,6 +12,7 @@ Lines are told apart by their 64-bit hash, as shingles are.
 
 from __future__ import annotations
 
+import functools
 import random
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -42,10 +43,16 @@ def placed(line: Column) -> Column:
                     F.when(narrow, F.lit(1)).otherwise(F.lit(4)).alias("width"))
 
 
-def shingle_hash(bytes: Column, width: Column, at: Column, size: int) -> Column:
-    """The hash of the shingle, as a string, that starts with character `at` (from 0) of a placed line."""
-    return F.when(width == 1, F.xxhash64(F.substring(bytes, at + 1, F.lit(size)))).otherwise(
-        F.xxhash64(F.decode(F.substring(bytes, at * 4 + 1, F.lit(4 * size)), "UTF-32")))
+#: Shingles that start in one piece of a line; a piece is made a string once for all of them.
+PIECE = 32
+
+
+def piece(bytes: Column, width: Column, at: Column, size: int) -> Column:
+    """The characters that the shingles from character `at` (from 0) of a placed line on need, up to `PIECE` of them."""
+    length = PIECE + size - 1
+    # The mark says the order of bytes; without it, one that begins the piece would be taken for it and be lost.
+    wide = F.decode(F.concat(F.lit(bytearray(b"\0\0\xfe\xff")), F.substring(bytes, at * 4 + 1, F.lit(4 * length))), "UTF-32")
+    return F.when(width == 1, F.substring(bytes, at + 1, F.lit(length)).cast("string")).otherwise(wide)
 
 
 def last_shingle(bytes: Column, width: Column, size: int) -> Column:
@@ -54,20 +61,35 @@ def last_shingle(bytes: Column, width: Column, size: int) -> Column:
 
 def hashes(line: Column, size: int) -> Column:
     """The hashes of the `shingles` of a line."""
+    def of(text: Column, last: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), last), lambda at: F.xxhash64(F.substring(text, at + 1, F.lit(size))))
+
+    def whole(p: Column) -> Column:
+        last = last_shingle(p["bytes"], p["width"], size)
+        # Only a piece at a time is looked through for its characters.
+        pieces = F.transform(F.sequence(F.lit(0), last, F.lit(PIECE)), lambda at: F.transform(
+            F.array(piece(p["bytes"], p["width"], at, size)), lambda text: of(text, F.least(last - at, F.lit(PIECE - 1))))[0])
+        return F.when(p["width"] == 1, of(p["bytes"], last)).otherwise(F.flatten(pieces))
+
     # As an array's only element the placed line is made once, not for each shingle.
-    return F.transform(F.array(placed(line)), lambda p: F.transform(
-        F.sequence(F.lit(0), last_shingle(p["bytes"], p["width"], size)),
-        lambda at: shingle_hash(p["bytes"], p["width"], at, size)))[0]
+    return F.transform(F.array(placed(line)), whole)[0]
 
 
 def placed_hashes(lines: DataFrame, size: int, step: int) -> DataFrame:
-    """node and the hashes h0, h1, ... of `step` neighbouring shingles a row; a line's last one fills its last row."""
-    places = F.sequence(F.lit(0), last_shingle(F.col("bytes"), F.col("width"), size), F.lit(step))
-    return (lines.select("node", placed(F.col("line")).alias("placed")).select("node", "placed.bytes", "placed.width")
-            .select("node", "bytes", "width", F.explode(places).alias("at"))
-            .withColumn("last", last_shingle(F.col("bytes"), F.col("width"), size))
-            .select("node", *[shingle_hash(F.col("bytes"), F.col("width"), F.least(F.col("at") + i, F.col("last")), size)
-                              .alias(f"h{i}") for i in range(step)]))
+    """node and the hashes h0, h1, ... of `step` neighbouring shingles a row; a piece's last one fills its last row."""
+    def shingle_hash(at: Column) -> Column:
+        # Where all characters have one byte, none is looked for.
+        return F.when(F.col("narrow"), F.xxhash64(F.substring(F.col("piece").cast("binary"), at + 1, F.lit(size)))).otherwise(
+            F.xxhash64(F.substring("piece", at + 1, F.lit(size))))
+
+    pieces = (lines.select("node", placed(F.col("line")).alias("placed")).select("node", "placed.bytes", "placed.width")
+              .withColumn("end", last_shingle(F.col("bytes"), F.col("width"), size))
+              .select("node", "bytes", "width", "end", F.explode(F.sequence(F.lit(0), "end", F.lit(PIECE))).alias("start"))
+              .select("node", F.least(F.col("end") - F.col("start"), F.lit(PIECE - 1)).alias("last"),
+                      piece(F.col("bytes"), F.col("width"), F.col("start"), size).alias("piece"))
+              .withColumn("narrow", F.octet_length("piece") == F.char_length("piece")))
+    return (pieces.select("*", F.explode(F.sequence(F.lit(0), "last", F.lit(step))).alias("at"))
+            .select("node", *[shingle_hash(F.least(F.col("at") + i, F.col("last"))).alias(f"h{i}") for i in range(step)]))
 
 
 def band_keys(lines: DataFrame, size: int, bands: int, rows: int, step: int = 4) -> DataFrame:
@@ -98,7 +120,7 @@ def jaccard_at_least(a: Column, b: Column, n: str, m: str, percent: int) -> Colu
 
 
 #: Words of a sketch, each of 64 bits.
-WORDS = 8
+WORDS = 16
 
 
 def sketches(texts: DataFrame, size: int) -> DataFrame:
@@ -140,15 +162,15 @@ def near_enough(pairs: DataFrame, drawn: DataFrame, percent: int) -> DataFrame:
             .where(may_reach("u_sketch", "v_sketch", "u_n", "v_n", percent)).select("u", "v"))
 
 
-def mixed_buckets(placed: DataFrame, pivots: int) -> tuple[DataFrame, DataFrame]:
-    """Of the rows of buckets (bucket, node, root and more) those of buckets with several roots, and of each such
-    bucket a class (bucket, u, u_root) of each of up to `pivots` roots besides the most frequent one."""
-    order = Window.partitionBy("bucket").orderBy(F.col("n").desc(), F.col("root").desc())
-    picked = materialize(
-        placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("node").alias("u"))
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= pivots + 1).where("rank > 1")
-        .select("bucket", "u", F.col("root").alias("u_root")), "pivots")
-    return placed.join(picked.select("bucket").distinct(), "bucket", "left_semi"), picked
+def mixed(placed: DataFrame) -> DataFrame:
+    """Of the rows of buckets (bucket, root and more) those of buckets with several roots."""
+    several = placed.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("greatest")).where(
+        "least < greatest").select("bucket")
+    return placed.join(several, "bucket", "left_semi")
+
+
+#: Rounds of `cross_links` before the last: how many more classes of a bucket lead it in each.
+ROUNDS = (4, 16)
 
 
 def cross_links(
@@ -156,35 +178,51 @@ def cross_links(
 ) -> list[DataFrame]:
     """(u, v) tables: components of the stars that a link between two classes of one bucket joins, by their roots.
 
-    Leads are left out, as the stars compare them with every class of their bucket. A round compares some classes
-    of each bucket, twice as many as the last one did, with all of its classes in other components, joins
-    components, and leaves those classes out. It ends where all that is left of each bucket is one component:
-    then every two of its classes have been compared or are connected. A group of near copies whose
-    classes are mostly linked is joined by its first rounds. Where classes stay apart, all their pairs are met, once."""
-    rows = shared.where("node <> lead").select("bucket", "node").join(roots, "node", "left").select(
-        "bucket", "node", F.coalesce("root", "node").alias("root"))
-    rows, picked = mixed_buckets(materialize(rows, "placed-lines"), 1)
-    rows = materialize(rows.join(drawn, "node").select("bucket", "node", "root", "n", "sketch"), "mixed-lines")
-    found, pivots = [], 1
-    while not picked.isEmpty():
-        left = picked.join(rows.select("bucket", F.col("node").alias("u"), F.col("n").alias("u_n"),
-                                       F.col("sketch").alias("u_sketch")), ["bucket", "u"])
-        pairs = materialize(left.join(rows, "bucket").where(
-            (F.col("u_root") != F.col("root")) & may_reach("u_sketch", "sketch", "u_n", "n", percent)).select(
-            F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v"),
-            F.least("u_root", "root").alias("v_root"), F.greatest("u_root", "root").alias("u_root")).distinct(),
-            "crossing-pairs")
+    Leads are left out, as the stars compare them with every class of their bucket. In the rounds the next few classes
+    of a bucket, by their numbers, are compared as leads are, with all behind them that are in other components, and
+    components are joined. So a group of near copies is mostly one component before, in the end, all other
+    classes of a bucket that are still in different ones are compared with each other. No two are compared twice for a
+    bucket, and no two are left out but where they are connected."""
+    rows = materialize(shared.where("node <> lead").select("bucket", "node").join(roots, "node", "left").select(
+        "bucket", "node", F.coalesce("root", "node").alias("root")), "placed-lines")
+    rows = materialize(mixed(rows).join(drawn, "node").select("bucket", "node", "root", "n", "sketch"), "mixed-lines")
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+    leads = materialize(rows.select("bucket", "node", rank.alias("rank")).where(F.col("rank") <= sum(ROUNDS)), "more-leads")
+    found, before = [], 0
+    for more in (*ROUNDS, None):
+        if rows.isEmpty():
+            break
+        if more:
+            chosen = leads.where((F.col("rank") > before) & (F.col("rank") <= before + more)).select("bucket", "node")
+            left = rows.join(chosen, ["bucket", "node"], "left_semi")
+            before += more
+        else:
+            left = rows.join(leads, ["bucket", "node"], "left_anti")
+        # Classes before a lead have led themselves.
+        pairs = materialize(
+            left.toDF("bucket", "u", "u_root", "u_n", "u_sketch").join(rows.toDF("bucket", "v", "v_root", "v_n", "v_sketch"), "bucket")
+            .where((F.col("u") < F.col("v")) & (F.col("u_root") != F.col("v_root"))
+                   & may_reach("u_sketch", "v_sketch", "u_n", "v_n", percent))
+            .select("u", "v", "u_root", "v_root").distinct(), "crossing-pairs")
         links = materialize(confirmed(pairs, drawn, texts, size, percent).select(
-            F.col("u_root").alias("u"), F.col("v_root").alias("v")).distinct(), "crossing-links")
+            F.greatest("u_root", "v_root").alias("u"), F.least("u_root", "v_root").alias("v")).distinct(), "crossing-links")
         found.append(links)
-        moved = components(links).select(F.col("node").alias("root"), F.col("root").alias("to"))
-        rest = rows.join(picked.select("bucket", F.col("u").alias("node")), ["bucket", "node"], "left_anti")
-        pivots *= 2
-        rows, picked = mixed_buckets(materialize(rest.join(moved, "root", "left").select(
-            "bucket", "node", F.coalesce("to", "root").alias("root"), "n", "sketch"), "mixed-lines"), pivots)
+        if more:
+            moved = components(links).select(F.col("node").alias("root"), F.col("root").alias("to"))
+            rows = materialize(mixed(rows.join(moved, "root", "left").select(
+                "bucket", "node", F.coalesce("to", "root").alias("root"), "n", "sketch")), "mixed-lines")
     return found
 
 
+def joined(roots: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """The components `roots` (node, root), those joined that `links` between their roots connect."""
+    if not links:
+        return roots
+    moved = materialize(components(functools.reduce(DataFrame.unionByName, links)), "moved-roots")
+    to = moved.toDF("root", "to")
+    return roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root")).unionByName(moved)
+
+
 def fuzzy_lines(docs: DataFrame, percent: int = 85, size: int = 8, bands: int = 6, rows: int = 3) -> DataFrame:
     """One row per line of `docs` (doc_id, text) that is not blank: doc_id, line_no (from 0), keep_doc_id,
     keep_line_no, group_size and kept.
@@ -198,7 +236,7 @@ def fuzzy_lines(docs: DataFrame, percent: int = 85, size: int = 8, bands: int =
     """
     lines = numbered_lines(docs)
     occurrences = materialize(lines.select("doc_id", "line_no", "node"), "line-occurrences")
-    texts = materialize_by(lines.select("node", "line").repartition("node").distinct(), ["node"], "distinct-lines")
+    texts = materialize_by(lines.select("node", "line"), ["node"], "distinct-lines", distinct=True)
     keys = band_keys(texts, size, bands, rows)
     entries = keys.select("node", F.explode("keys").alias("bucket"))
     leads = materialize(
@@ -206,14 +244,12 @@ def fuzzy_lines(docs: DataFrame, percent: int = 85, size: int = 8, bands: int =
         .where("n > 1").select("bucket", "lead"), "line-leads")
     shared = materialize(entries.join(leads, "bucket"), "shared-lines")
     wanted = materialize(shared.select("node").distinct(), "compared-lines")
-    compared = materialize(texts.join(wanted, "node"), "compared-texts")
-    drawn = materialize(sketches(compared, size), "line-sketches")
+    compared = materialize_by(texts.join(wanted, "node"), ["node"], "compared-texts")
+    drawn = materialize_by(sketches(compared, size), ["node"], "line-sketches")
     near = materialize(near_enough(star_pairs(shared), drawn, percent), "star-pairs")
     stars = materialize(confirmed(near, drawn, compared, size, percent), "star-links")
     roots = components(stars)
-    for links in cross_links(shared, roots, drawn, compared, size, percent):
-        stars = stars.unionByName(links)
-    roots = components(stars)
+    roots = joined(roots, cross_links(shared, roots, drawn, compared, size, percent))
     grouped = materialize(occurrences.join(roots, "node", "left").select(
         "doc_id", "line_no", F.coalesce("root", "node").alias("root")), "line-groups")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")

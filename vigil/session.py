@@ -49,15 +49,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize_by(df: DataFrame, keys: list[str], name: str = "step") -> DataFrame:
+def materialize_by(df: DataFrame, keys: list[str], name: str = "step", distinct: bool = False) -> DataFrame:
     """As `materialize`, laid out by `keys`: work grouped, windowed or joined by them and more needs no shuffle.
+    `distinct` leaves out rows that repeat, in the same shuffle.
 
     There are as many buckets as shuffle partitions, and each row is shuffled once, here. The table has a name in the
     session's catalog only while it is made; its files stay in the shared folder."""
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"laid_out_{uuid.uuid4().hex}"
-    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", new_folder(spark, name)).saveAsTable(table)
+    df = df.repartition(buckets, *keys)
+    if distinct:
+        df = df.distinct()
+    df.write.bucketBy(buckets, *keys).option("path", new_folder(spark, name)).saveAsTable(table)
     try:
         return spark.table(table)
     finally:
