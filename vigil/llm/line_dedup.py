@@ -128,8 +128,11 @@ def sketches(texts: DataFrame, size: int) -> DataFrame:
     their hashes, set where an odd number of the set has it."""
     each = texts.select("node", F.explode(F.array_distinct(hashes(F.col("line"), size))).alias("h"))
     bit, word = F.expr("shiftleft(1L, cast(h & 63 as int))"), F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(WORDS - 1))
-    words = [F.bit_xor(F.when(word == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"s{w}") for w in range(WORDS)]
-    return each.groupBy("node").agg(F.count("*").alias("n"), *words).select(
+    # Word by word, so that a shingle changes one of them only.
+    by_word = each.groupBy("node", word.alias("word")).agg(F.count("*").alias("n"), F.bit_xor(bit).alias("bits"))
+    words = [F.coalesce(F.max(F.when(F.col("word") == w, F.col("bits"))), F.lit(0).cast("bigint")).alias(f"s{w}")
+             for w in range(WORDS)]
+    return by_word.groupBy("node").agg(F.sum("n").alias("n"), *words).select(
         "node", "n", F.struct(*[f"s{w}" for w in range(WORDS)]).alias("sketch"))
 
 
