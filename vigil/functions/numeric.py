@@ -57,7 +57,7 @@ def model_name(device_id: Column, trained_at_ms: Column) -> Column:
 def spread(n: Column, s: Column, ss: Column) -> Column:
     """n times the cluster radius. Products are exact decimals of up to 38 digits, enough for the widest readings of
     two thousand million rows."""
-    squares = n.cast("decimal(10,0)") * ss.cast("decimal(28,0)") - s.cast("decimal(19,0)") * s.cast("decimal(19,0)")
+    squares = n.cast("decimal(19,0)") * ss.cast("decimal(28,0)") - s.cast("decimal(19,0)") * s.cast("decimal(19,0)")
     return F.sqrt(squares.cast("double"))
 
 
